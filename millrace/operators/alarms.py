@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import astuple, dataclass
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .windows import breached_in_row, state_changes
@@ -44,13 +44,13 @@ ALL_MINUTES_RULES = [
 # Fixed value: Apdex below this in every minute of five is critical.
 APDEX_FLOOR = 0.75
 
-_RULE_SCHEMA = ("alarm string, metric_name string, stat string, period int, op string, threshold double, "
-                "periods int")
 
-
-def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
-    rows = [tuple(float(x) if i == 5 else x for i, x in enumerate(astuple(r))) for r in rules]
-    return spark.createDataFrame(rows, _RULE_SCHEMA)
+def rules_column(rules: list[Rule]) -> Column:
+    """All rules as one literal array, so that applying them needs no join."""
+    return F.array(*[
+        F.struct(*[F.lit(float(v) if name == "threshold" else v).alias(name) for name, v in asdict(rule).items()])
+        for rule in rules
+    ])
 
 
 def breach(value: Column, op: Column, threshold: Column) -> Column:
@@ -62,12 +62,14 @@ def breach(value: Column, op: Column, threshold: Column) -> Column:
 def period_values(points: DataFrame, rules: list[Rule]) -> DataFrame:
     """The statistic of each rule, dimension set and period: one shuffle for all rules.
 
-    Points are (ts, metric_name, value, dimensions map). The broadcast side is the rule list.
+    Points are (ts, metric_name, value, dimensions map); points of other metrics are not scanned further.
     """
-    spark = points.sparkSession
-    bucket = F.timestamp_seconds(F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / F.col("period")) * F.col("period"))
+    watched = points.filter(F.col("metric_name").isin(sorted({r.metric_name for r in rules})))
+    fitting = F.filter(rules_column(rules), lambda rule: rule["metric_name"] == F.col("metric_name"))
+    second = F.unix_seconds(F.col("ts").cast("timestamp"))
+    bucket = F.timestamp_seconds(second - F.pmod(second, F.col("period")))
     entries = F.array_sort(F.map_entries("dimensions"))
-    grouped = (points.join(F.broadcast(rule_table(spark, rules)), "metric_name")
+    grouped = (watched.select("ts", "value", "dimensions", F.inline(fitting))
                .groupBy("alarm", "stat", "op", "threshold", "periods", entries.alias("__dims"),
                         bucket.alias("period_start"))
                .agg(F.max("value").alias("__max"), F.min("value").alias("__min"),

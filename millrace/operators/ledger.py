@@ -55,8 +55,11 @@ def account_number(text: Column | str) -> Column:
     return F.when(text.rlike(r"^[+-]?[0-9]+\z"), text.try_cast("int")).cast("bigint")
 
 
-def _known(accounts: DataFrame, name: str) -> DataFrame:
-    return accounts.select(F.col("id").cast("bigint").alias(name)).distinct().withColumn(f"__has_{name}", F.lit(True))
+def _known(accounts: DataFrame, name: str, *extra: str) -> DataFrame:
+    """One row per account id, marked as known, with extra columns of the account."""
+    details = [F.max(c).alias(f"__{c}") for c in extra]
+    return (accounts.groupBy(F.col("id").cast("bigint").alias(name))
+            .agg(F.lit(True).alias(f"__has_{name}"), *details))
 
 
 def _transfer_error() -> Column:
@@ -66,11 +69,12 @@ def _transfer_error() -> Column:
             .when(F.col("__has_from_acct").isNull() | F.col("__has_to_acct").isNull(), "ACCOUNT_NOT_EXISTS"))
 
 
-def _resolved(requests: DataFrame, accounts: DataFrame) -> DataFrame:
+def _resolved(requests: DataFrame, accounts: DataFrame, *extra: str) -> DataFrame:
+    """Requests with parsed account numbers, looked up; ``extra`` columns are those of the sender."""
     typed = requests.withColumns(
         {"from_acct": account_number("from_account"), "to_acct": account_number("to_account")}
     )
-    return (typed.join(_known(accounts, "from_acct"), "from_acct", "left")
+    return (typed.join(_known(accounts, "from_acct", *extra), "from_acct", "left")
             .join(_known(accounts, "to_acct"), "to_acct", "left"))
 
 
@@ -89,9 +93,7 @@ def check_schedules(requests: DataFrame, accounts: DataFrame, as_of: str) -> Dat
     ``accounts`` is (id, balance); ``as_of`` stands for today, which is allowed. Scheduling does
     not reserve money, so each row is compared with the same balance.
     """
-    balances = accounts.select(F.col("id").cast("bigint").alias("from_acct"), F.col("balance").alias("__balance"))
-    day = parse_us_date("schedule_date")
-    rows = _resolved(requests, accounts).join(balances, "from_acct", "left").withColumn("sch_transfer_date", day)
+    rows = _resolved(requests, accounts, "balance").withColumn("sch_transfer_date", parse_us_date("schedule_date"))
     code = F.coalesce(
         _transfer_error(),
         F.when(F.col("sch_transfer_date").isNull(), "INVALID_DATE_FORMAT")
@@ -131,16 +133,13 @@ def post_transfers(transfers: DataFrame, opening: DataFrame, seq: str = "trans_i
             .withColumn("overdrawn", F.col("balance") < 0))
 
 
-def due_transfers(schedule: DataFrame, accounts: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame]:
-    """(postings, rejected requests) of all SCHEDULED transfers due by ``as_of``."""
+def due_transfers(schedule: DataFrame, accounts: DataFrame, as_of: str) -> DataFrame:
+    """All SCHEDULED transfers due by ``as_of``, with ``error_code`` and, if there is none, COMPLETED."""
     due = schedule.filter((F.col("status") == "SCHEDULED") & (F.col("sch_transfer_date") <= F.lit(as_of).cast("date")))
     requests = due.withColumns({"from_account": F.col("from_acct").cast("string"),
                                 "to_account": F.col("to_acct").cast("string")}).drop("from_acct", "to_acct")
-    checked = validate_transfers(requests, accounts)
-    accepted = (checked.filter(F.col("error_code").isNull())
-                .withColumn("status", F.lit("COMPLETED"))
-                .drop("error_code", "http_code", "error_type", "from_account", "to_account"))
-    return post_transfers(accepted, accounts), checked.filter(F.col("error_code").isNotNull())
+    checked = validate_transfers(requests, accounts).drop("from_account", "to_account")
+    return checked.withColumn("status", F.when(F.col("error_code").isNull(), "COMPLETED").otherwise(F.col("status")))
 
 
 def close_accounts(accounts: DataFrame, closing: DataFrame) -> DataFrame:
