@@ -99,14 +99,10 @@ def parse_us_date(text: Column | str) -> Column:
     Day 29-31 of a shorter month counts as that month's last day; day 32 is malformed.
     """
     text = _col(text)
-    shape = r"^(\d{2})/(\d{2})/(\d{4})$"
-    month, day, year = (F.regexp_extract(text, shape, group) for group in (1, 2, 3))
-    first = F.try_to_timestamp(F.concat_ws("-", year, month, F.lit("01")), F.lit("yyyy-MM-dd")).cast("date")
-    day_number = day.try_cast("int")
-    return F.when(
-        day_number.between(1, 31) & (year != "0000"),
-        F.least(F.date_add(first, day_number - 1), F.last_day(first)),
-    )
+    shaped = text.rlike(r"^(0[1-9]|1[0-2])/(0[1-9]|[12][0-9]|3[01])/(?!0000)[0-9]{4}\z")
+    month, day, year = (F.substring(text, at, size).cast("int") for at, size in ((1, 2), (4, 2), (7, 4)))
+    first = F.make_date(year, month, F.lit(1))
+    return F.when(shaped, F.least(F.date_add(first, day - 1), F.last_day(first)))
 
 
 def parse_datetime(text: Column | str) -> Column:

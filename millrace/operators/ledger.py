@@ -93,7 +93,8 @@ def check_schedules(requests: DataFrame, accounts: DataFrame, as_of: str) -> Dat
     ``accounts`` is (id, balance); ``as_of`` stands for today, which is allowed. Scheduling does
     not reserve money, so each row is compared with the same balance.
     """
-    rows = _resolved(requests, accounts, "balance").withColumn("sch_transfer_date", parse_us_date("schedule_date"))
+    dated = requests.withColumn("sch_transfer_date", parse_us_date("schedule_date"))
+    rows = _resolved(dated, accounts, "balance")
     code = F.coalesce(
         _transfer_error(),
         F.when(F.col("sch_transfer_date").isNull(), "INVALID_DATE_FORMAT")

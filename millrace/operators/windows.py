@@ -17,35 +17,36 @@ def running_total(df: DataFrame, key: str, seq: str, value: str, out: str = "run
     """Sum of ``value`` per ``key`` up to each row, in ``seq`` order.
 
     ``seq`` is a whole number that is unique within a key, so a block of ``block_rows`` numbers
-    holds at most that many rows of a key. Each (key, block) is one window group; what came
-    before a block is added from per-block sums, which are combined before they are shuffled.
-    ``opening`` (key, opening) adds a starting value per key.
+    holds at most that many rows of a key (twice as many around zero). Each (key, block) is one
+    window group. It starts with a marker row that carries the sum of all earlier blocks; these
+    sums are combined before they are shuffled. ``opening`` (key, opening) adds a starting value.
     """
-    block = "__block"
-    blocked = df.withColumn(block, F.floor(F.col(seq) / F.lit(block_rows)).cast("bigint"))
-    sums = blocked.groupBy(key, block).agg(F.sum(value).alias("__sum"))
+    block, moves, is_row = "__block", "__move", "__is_row"
+    blocked = df.withColumns({block: F.expr(f"`{seq}` div {int(block_rows)}"), moves: F.col(value)})
+    sums = blocked.groupBy(key, block).agg(F.sum(moves).alias("__sum"))
     before = Window.partitionBy(key).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.withColumn("__offset", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")
+    markers = sums.select(key, block, F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias(moves))
     if opening is not None:
-        offsets = (offsets.join(opening.select(key, F.col("opening").alias("__opening")), key, "left")
-                   .withColumn("__offset", F.col("__offset") + F.coalesce("__opening", F.lit(0)))
-                   .drop("__opening"))
-    inside = Window.partitionBy(key, block).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
-    return (blocked.join(offsets, [key, block])
-            .withColumn(out, F.sum(value).over(inside) + F.col("__offset"))
-            .drop(block, "__offset"))
+        start = F.coalesce(F.col("opening"), F.lit(0))
+        markers = (markers.join(opening.select(key, "opening"), key, "left")
+                   .select(key, block, (F.col(moves) + start).alias(moves)))
+    rows = blocked.withColumn(is_row, F.lit(1)).unionByName(
+        markers.withColumn(is_row, F.lit(0)), allowMissingColumns=True)
+    inside = (Window.partitionBy(key, block).orderBy(is_row, seq)
+              .rowsBetween(Window.unboundedPreceding, 0))
+    return (rows.withColumn(out, F.sum(moves).over(inside)).filter(F.col(is_row) == 1)
+            .drop(block, moves, is_row))
 
 
 def last_write(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """The row with the greatest ``order`` per key, as an aggregate.
+    """The row with the greatest ``order`` per key.
 
-    Unlike ``row_number`` over a window this combines on the map side, so a key that holds a
-    third of all rows still sends one row per task.
+    Spark limits each group to its first row before the shuffle as well as after it, so a key that
+    holds a third of all rows sends one row per task.
     """
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("__row")
-    return df.groupBy(*keys).agg(newest).select(*keys, "__row.*").select(*df.columns)
+    newest = [(F.col(c) if isinstance(c, str) else c).desc() for c in order]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))
+    return df.withColumn("__rank", rank).filter(F.col("__rank") == 1).drop("__rank")
 
 
 def dense_ids(df: DataFrame, order: Sequence[str | Column], start: int = 1, out: str = "id",

@@ -19,12 +19,25 @@ SETTINGS = {
 }
 
 
-def get_session(app: str = "millrace", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
-    """Build (or fetch) a session with the settings every job here expects."""
+# Bytes of shuffle input that one task should get before adaptive execution merges small ones.
+SHUFFLE_TASK_BYTES = 128 << 20
+
+
+def get_session(app: str = "millrace", master: str | None = None, conf: dict[str, str] | None = None,
+                shuffle_bytes: int | None = None) -> SparkSession:
+    """Build (or fetch) a session with the settings every job here expects.
+
+    ``shuffle_bytes`` is the size of the largest shuffle of the job. It sets how many partitions
+    adaptive execution starts from; it merges them where a shuffle turns out smaller.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **(conf or {})}.items():
+    sizes = {}
+    if shuffle_bytes:
+        parts = max(200, -(-shuffle_bytes // SHUFFLE_TASK_BYTES))
+        sizes["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(parts)
+    for key, value in {**SETTINGS, **sizes, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -20,6 +20,12 @@ def test_running_total_with_a_hot_key(spark, rows, block_rows):
     assert sorted(map(tuple, got.collect())) == sorted(expected)
 
 
+def test_running_total_keeps_rows_without_a_key(spark, rows):
+    df = spark.createDataFrame([(None, 1, 5), (None, 9, 6), ("a", 2, 1)], "k STRING, seq INT, v INT")
+    assert rows(windows.running_total(df, "k", "seq", "v", block_rows=4)) == [
+        ("a", 2, 1, 1), (None, 1, 5, 5), (None, 9, 6, 11)]
+
+
 def test_dense_ids(spark):
     df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("n"))
     got = windows.dense_ids(df, ["n"], start=100000, partitions=6).orderBy("n").collect()
