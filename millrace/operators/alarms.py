@@ -62,7 +62,8 @@ def breach(value: Column, op: Column, threshold: Column) -> Column:
 def period_values(points: DataFrame, rules: list[Rule]) -> DataFrame:
     """The statistic of each rule, dimension set and period: one shuffle for all rules.
 
-    Points are (ts, metric_name, value, dimensions map); points of other metrics are not scanned further.
+    Points are (ts, metric_name, value, dimensions map); points of other metrics are filtered out in
+    the scan. ``__dims`` holds the dimensions as sorted entries, so that their order does not matter.
     """
     watched = points.filter(F.col("metric_name").isin(sorted({r.metric_name for r in rules})))
     fitting = F.filter(rules_column(rules), lambda rule: rule["metric_name"] == F.col("metric_name"))
@@ -76,24 +77,27 @@ def period_values(points: DataFrame, rules: list[Rule]) -> DataFrame:
                     F.sum("value").alias("__sum"), F.count("value").alias("__n")))
     value = (F.when(F.col("stat") == "max", F.col("__max")).when(F.col("stat") == "min", F.col("__min"))
              .when(F.col("stat") == "sum", F.col("__sum")).otherwise(F.col("__sum") / F.col("__n")))
-    return grouped.select("alarm", F.map_from_entries("__dims").alias("dimensions"), "period_start",
-                          value.alias("value"), "op", "threshold", "periods")
+    return grouped.select("alarm", "__dims", "period_start", value.alias("value"), "op", "threshold", "periods")
 
 
-def evaluate(points: DataFrame, rules: list[Rule]) -> DataFrame:
+def evaluate(points: DataFrame, rules: list[Rule], changes_only: bool = False) -> DataFrame:
     """ALARM / OK per rule, dimension set and observed period.
 
     Periods without points are not evaluated: the state stays as it was, which is what rules that
-    ignore missing data ask for, and the choice made here for the others.
+    ignore missing data ask for, and the choice made here for the others. ``changes_only`` keeps
+    the rows where the state differs from the one before, and adds ``previous_state``.
     """
     values = period_values(points, rules)
     checked = values.withColumn("breach", breach(F.col("value"), F.col("op"), F.col("threshold")))
     keys = ["alarm", "__dims"]
-    checked = checked.withColumn("__dims", F.array_sort(F.map_entries("dimensions")))
     runs = breached_in_row(checked, keys, "period_start", "breach", F.col("periods"),
                            longest=max(r.periods for r in rules))
-    return runs.select("alarm", "dimensions", "period_start", "value",
-                       F.when(F.col("in_alarm"), "ALARM").otherwise("OK").alias("state"))
+    states = runs.withColumn("state", F.when(F.col("in_alarm"), "ALARM").otherwise("OK"))
+    added = []
+    if changes_only:
+        states, added = state_changes(states, keys, "period_start", "state"), ["previous_state"]
+    return states.select("alarm", F.map_from_entries("__dims").alias("dimensions"), "period_start", "value", "state",
+                         *added)
 
 
 def evaluate_series(series: DataFrame, keys: list[str], time: str, value: str, op: str, threshold: float,
@@ -103,11 +107,3 @@ def evaluate_series(series: DataFrame, keys: list[str], time: str, value: str, o
     runs = breached_in_row(checked, keys, time, "breach", periods)
     return (runs.withColumn("state", F.when(F.col("in_alarm"), "ALARM").otherwise("OK"))
             .drop("breach", "in_alarm"))
-
-
-def notifications(states: DataFrame, keys: list[str] | None = None, time: str = "period_start") -> DataFrame:
-    """Only the rows where an alarm changes state."""
-    if keys is not None:
-        return state_changes(states, keys, time, "state")
-    keyed = states.withColumn("__dims", F.array_sort(F.map_entries("dimensions")))
-    return state_changes(keyed, ["alarm", "__dims"], time, "state").drop("__dims")

@@ -83,8 +83,9 @@ def salted_join(fact: DataFrame, other: DataFrame, keys: Sequence[str], salt_by:
     keys = list(keys)
     hot = F.broadcast(hot_keys(fact, keys, hot_rows).withColumn("__hot", F.lit(True)))
     spread = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
+    unmatched = reduce(Column.__or__, (F.col(k).isNull() for k in keys))
     salted = (fact.join(hot, keys, "left")
-              .withColumn("__salt", F.when(F.col("__hot"), spread).otherwise(F.lit(0))).drop("__hot"))
+              .withColumn("__salt", F.when(F.col("__hot") | unmatched, spread).otherwise(F.lit(0))).drop("__hot"))
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     repeated = (other.join(hot, keys, "left")
                 .withColumn("__salt", F.explode(F.when(F.col("__hot"), every).otherwise(F.array(F.lit(0)))))

@@ -66,7 +66,9 @@ def _folded(rows: DataFrame, keys: Sequence[str], kept: Sequence[str]) -> DataFr
         [rows.schema[name] for name in kept]
         + [T.StructField("__balance", T.LongType()), T.StructField("__accepted", T.BooleanType())]
     )
-    placed = rows.repartition(*keys).sortWithinPartitions(*keys, "__op", "__seq")
+    # Operations without an account all fail on their own; they need not meet in one task.
+    nobody = F.when(F.col(keys[0]).isNull(), F.col("__seq"))
+    placed = rows.repartition(*keys, nobody).sortWithinPartitions(*keys, "__op", "__seq")
     return placed.mapInArrow(_fold(keys, kept), schema)
 
 
@@ -179,7 +181,8 @@ def replay(ops: DataFrame, opening: DataFrame, account: str = "account", seq: st
     )
     kept = ["__key", "__seq", "__row"]
 
-    hot = typed.groupBy("__key").agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).collect()
+    counts = typed.filter(F.col("__key").isNotNull()).groupBy("__key").agg(F.count("*").alias("n"))
+    hot = counts.filter(F.col("n") > hot_rows).collect()
     if not hot:
         done = _folded(_with_openings(typed, openings), ["__key"], kept)
     else:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import not_false, since_months
 from ..functions.scalar import epoch_with_fallback, prefixed
-from ..operators.joins import in_list, salted_join, star_join
+from ..operators.joins import in_list, salted_join
 from ..sinks.files import write_single_file
 
 # The published status, and the prefix of item ids.
@@ -16,7 +16,11 @@ ITEM_PREFIX = "hh_"
 
 
 def item_list(action: DataFrame, action_activities: DataFrame, tracker: DataFrame, category: DataFrame) -> DataFrame:
-    """Distinct activity types that a visible, published, unsponsored tracker offers."""
+    """Distinct activity types that a visible, published, unsponsored tracker offers.
+
+    Only the type survives, so every other table is a filter on the activities (a semi join): the
+    two small sides meet first, and the activities are shuffled by action at most once.
+    """
     actions = action.select(F.col("id").alias("action_id"))
     activities = (action_activities.select("action_id", "activity_type", "manually_entered")
                   .filter(not_false("manually_entered")).drop("manually_entered"))
@@ -25,8 +29,8 @@ def item_list(action: DataFrame, action_activities: DataFrame, tracker: DataFram
     trackers = (tracker.filter((F.col("hide_on_healthy_habits") == F.lit(False))
                                & (F.col("status") == PUBLISHED) & F.col("sponsor_id").isNull())
                 .select(F.col("action").alias("action_id"), "thrive_category_id"))
-    joined = star_join(activities, (actions, "action_id"), (trackers, "action_id"), (categories, "thrive_category_id"))
-    return joined.select("activity_type").distinct()
+    offered = in_list(trackers, categories, "thrive_category_id").select("action_id")
+    return in_list(in_list(activities, offered, "action_id"), actions, "action_id").select("activity_type").distinct()
 
 
 def item_metadata(types: DataFrame, tracker: DataFrame, category: DataFrame,

@@ -12,11 +12,11 @@ from ..operators.shaping import apply_mapping, drop_null_fields, resolve_choice
 READING = ("timestamp BIGINT, temperature DOUBLE, "
            "sensor STRUCT<number: INT, location: ARRAY<STRING>, address: STRING>")
 TARGET = [
-    ("tmp_timestamp", "bigint", "timestamp", "timestamp"), ("tmp_sensorid", "string", "sensorid", "bigint"),
-    ("tmp_sensorname", "string", "sensorname", "string"), ("tmp_latitude", "string", "latitude", "decimal(8,4)"),
-    ("tmp_longitude", "string", "longitude", "decimal(8,4)"), ("tmp_block", "string", "block", "string"),
-    ("tmp_street", "string", "street", "string"), ("tmp_city", "string", "city", "string"),
-    ("tmp_state", "string", "state", "string"), ("temperature", "double", "temperature", "double"),
+    ("at_millis", "bigint", "timestamp", "timestamp"), ("id_digits", "string", "sensorid", "bigint"),
+    ("label", "string", "sensorname", "string"), ("lat_text", "string", "latitude", "decimal(8,4)"),
+    ("lng_text", "string", "longitude", "decimal(8,4)"), ("address_block", "string", "block", "string"),
+    ("address_street", "string", "street", "string"), ("address_city", "string", "city", "string"),
+    ("address_state", "string", "state", "string"), ("temperature", "double", "temperature", "double"),
     ("sensor.number", "int", "number", "int"), ("sensor.location", "array", "location", "string"),
     ("sensor.address", "string", "address", "string"),
 ]
@@ -28,18 +28,18 @@ def derived(readings: DataFrame) -> DataFrame:
     number = zero_pad("sensor.number", 2)
     first = split_part("sensor.address", ",", 0)
     parts = {
-        "tmp_latitude": latitude,
-        "tmp_longitude": longitude,
+        "lat_text": latitude,
+        "lng_text": longitude,
         # Fraction digits of both coordinates, then the number; as a whole number it loses leading zeros.
-        "tmp_sensorid": F.concat(split_part(latitude, ".", 1), split_part(longitude, ".", 1), number),
-        "tmp_block": strip(split_once(first, " ", 0)),
-        "tmp_street": strip(split_once(first, " ", 1)),
-        "tmp_city": strip(split_part("sensor.address", ",", 1)),
-        "tmp_state": strip(split_part("sensor.address", ",", 2)),
-        "tmp_timestamp": seconds_to_millis("timestamp"),
+        "id_digits": F.concat(split_part(latitude, ".", 1), split_part(longitude, ".", 1), number),
+        "address_block": strip(split_once(first, " ", 0)),
+        "address_street": strip(split_once(first, " ", 1)),
+        "address_city": strip(split_part("sensor.address", ",", 1)),
+        "address_state": strip(split_part("sensor.address", ",", 2)),
+        "at_millis": seconds_to_millis("timestamp"),
     }
     return readings.withColumns(parts).withColumn(
-        "tmp_sensorname", join_all("-", "tmp_state", "tmp_city", without("tmp_street", " "), "tmp_block", number)
+        "label", join_all("-", "address_state", "address_city", without("address_street", " "), "address_block", number)
     )
 
 

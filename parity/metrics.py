@@ -136,7 +136,7 @@ def alarm_states(t):
       FROM ({STATES_SQL}))
     WHERE previous_state IS NULL OR previous_state <> state""")
 def alarm_changes(t):
-    changes = alarms.notifications(alarms.evaluate(event_points(t), HOURLY_RULES))
+    changes = alarms.evaluate(event_points(t), HOURLY_RULES, changes_only=True)
     return changes.select("alarm", F.col("dimensions")["type"].alias("event_type"), as_ntz("period_start"), "value",
                           "state", "previous_state")
 

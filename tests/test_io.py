@@ -163,3 +163,19 @@ def test_streaming_alarm_keeps_state_between_runs(spark, tmp_path):
 def test_shared_folder(spark):
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
     assert session.scratch_path(spark, "x").startswith(session.shared_dir(spark))
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    class Stub:
+        master = "spark://somewhere:1"
+
+        def get(self, *_):
+            return None
+
+        def getCheckpointDir(self):
+            return None
+
+    cluster = Stub()
+    cluster.conf = cluster.sparkContext = cluster
+    with pytest.raises(RuntimeError):
+        session.shared_dir(cluster)

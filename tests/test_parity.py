@@ -63,3 +63,38 @@ def test_member_join_is_inner(spark):
 def test_rows_are_combined_before_the_shuffle(spark, name, early):
     physical = plan(spark, name).split("== Physical Plan ==")[1]
     assert early in physical[physical.index("Exchange"):]
+
+
+@pytest.fixture
+def small_skew(spark):
+    """Settings under which the test tables are large enough to be split as skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_hot_join_keys_are_split(spark, tmp_path, small_skew):
+    """Member 7 has most of the activities; the join on members reads its partition in pieces."""
+    rows = spark.range(20000).selectExpr(
+        "IF(id % 3 > 0, 7, id % 900) AS member_key", "concat('t', id % 2) AS activity_type",
+        "timestamp_ntz'2020-06-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS activity_date",
+        "timestamp_ntz'2020-06-01 00:00:00' AS dw_created_date")
+    rows.repartition(8).write.parquet(str(tmp_path / "activity"))
+    members = spark.range(900).selectExpr("id AS member_key", "id AS member_id")
+    types = spark.createDataFrame([("t0",), ("t1",)], "activity_type STRING")
+    trackers = types.selectExpr("1 AS tracker_id", "activity_type")
+    out = feeds.member_interactions(types, members, spark.read.parquet(str(tmp_path / "activity")), trackers,
+                                    "2020-07-01")
+    assert len(out.collect()) == 20000
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
