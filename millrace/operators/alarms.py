@@ -59,25 +59,38 @@ def breach(value: Column, op: Column, threshold: Column) -> Column:
             .when(op == "==", value == threshold))
 
 
-def period_values(points: DataFrame, rules: list[Rule]) -> DataFrame:
-    """The statistic of each rule, dimension set and period: one shuffle for all rules.
+def watched_points(points: DataFrame, rules: list[Rule]) -> DataFrame:
+    """(ts, value, __dims, rule columns): one row per point and rule that looks at its metric.
 
-    Points are (ts, metric_name, value, dimensions map); points of other metrics are filtered out in
+    Points are (ts, metric_name, value, dimensions map). Those of other metrics are filtered out in
     the scan. ``__dims`` holds the dimensions as sorted entries, so that their order does not matter.
     """
     watched = points.filter(F.col("metric_name").isin(sorted({r.metric_name for r in rules})))
     fitting = F.filter(rules_column(rules), lambda rule: rule["metric_name"] == F.col("metric_name"))
+    return watched.select("ts", "value", F.array_sort(F.map_entries("dimensions")).alias("__dims"), F.inline(fitting))
+
+
+RULE_KEYS = ["alarm", "stat", "op", "threshold", "periods", "__dims"]
+
+def partial_statistics() -> list[Column]:
+    """All statistics a rule may ask for; the rule's own is picked after the aggregate."""
+    return [F.max("value").alias("__max"), F.min("value").alias("__min"), F.sum("value").alias("__sum"),
+            F.count("value").alias("__n")]
+
+
+def picked_statistic() -> Column:
+    return (F.when(F.col("stat") == "max", F.col("__max")).when(F.col("stat") == "min", F.col("__min"))
+            .when(F.col("stat") == "sum", F.col("__sum")).otherwise(F.col("__sum") / F.col("__n")))
+
+
+def period_values(points: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The statistic of each rule, dimension set and period: one shuffle for all rules."""
     second = F.unix_seconds(F.col("ts").cast("timestamp"))
     bucket = F.timestamp_seconds(second - F.pmod(second, F.col("period")))
-    entries = F.array_sort(F.map_entries("dimensions"))
-    grouped = (watched.select("ts", "value", "dimensions", F.inline(fitting))
-               .groupBy("alarm", "stat", "op", "threshold", "periods", entries.alias("__dims"),
-                        bucket.alias("period_start"))
-               .agg(F.max("value").alias("__max"), F.min("value").alias("__min"),
-                    F.sum("value").alias("__sum"), F.count("value").alias("__n")))
-    value = (F.when(F.col("stat") == "max", F.col("__max")).when(F.col("stat") == "min", F.col("__min"))
-             .when(F.col("stat") == "sum", F.col("__sum")).otherwise(F.col("__sum") / F.col("__n")))
-    return grouped.select("alarm", "__dims", "period_start", value.alias("value"), "op", "threshold", "periods")
+    grouped = (watched_points(points, rules).groupBy(*RULE_KEYS, bucket.alias("period_start"))
+               .agg(*partial_statistics()))
+    return grouped.select("alarm", "__dims", "period_start", picked_statistic().alias("value"), "op", "threshold",
+                          "periods")
 
 
 def evaluate(points: DataFrame, rules: list[Rule], changes_only: bool = False) -> DataFrame:

@@ -8,34 +8,52 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
+from .joins import hot_keys
 
+HOT_ROWS = 1 << 20
 BLOCK_ROWS = 1 << 20
 
 
 def running_total(df: DataFrame, key: str, seq: str, value: str, out: str = "running",
-                  opening: DataFrame | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                  opening: DataFrame | None = None, hot_rows: int = HOT_ROWS,
+                  block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Sum of ``value`` per ``key`` up to each row, in ``seq`` order.
 
-    ``seq`` is a whole number that is unique within a key, so a block of ``block_rows`` numbers
-    holds at most that many rows of a key (twice as many around zero). Each (key, block) is one
-    window group. It starts with a marker row that carries the sum of all earlier blocks; these
-    sums are combined before they are shuffled. ``opening`` (key, opening) adds a starting value.
+    ``seq`` is a whole number that is unique within a key. A key of up to ``hot_rows`` rows is one
+    window group. A larger one is cut into blocks of ``block_rows`` sequence numbers, each a group
+    of at most that many rows (twice as many around zero), which starts with a marker row that
+    carries the sum of all earlier blocks. ``opening`` (key, opening) adds a starting value.
+
+    The rows are shuffled once. Counts and block sums are combined before they are shuffled, and
+    the list of hot keys, at most ``rows / hot_rows`` long, is the only thing broadcast.
     """
-    block, moves, is_row = "__block", "__move", "__is_row"
-    blocked = df.withColumns({block: F.expr(f"`{seq}` div {int(block_rows)}"), moves: F.col(value)})
-    sums = blocked.groupBy(key, block).agg(F.sum(moves).alias("__sum"))
-    before = Window.partitionBy(key).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    markers = sums.select(key, block, F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias(moves))
+    block, move, is_row = "__block", "__move", "__is_row"
+    hot = F.broadcast(hot_keys(df, [key], hot_rows).withColumn("__hot", F.lit(True)))
+    is_cut = F.coalesce(F.col("__hot"), F.col(key).isNull())
+
+    rows = df.join(hot, key, "left").withColumns({
+        block: F.when(is_cut, F.expr(f"`{seq}` div {int(block_rows)}")).otherwise(F.lit(0)).cast("bigint"),
+        move: F.col(value),
+        is_row: F.lit(1),
+    })
+    sums = rows.filter(is_cut).groupBy(key, block).agg(F.sum(move).alias("__sum"))
+    markers = []
     if opening is not None:
-        start = F.coalesce(F.col("opening"), F.lit(0))
-        markers = (markers.join(opening.select(key, "opening"), key, "left")
-                   .select(key, block, (F.col(moves) + start).alias(moves)))
-    rows = blocked.withColumn(is_row, F.lit(1)).unionByName(
-        markers.withColumn(is_row, F.lit(0)), allowMissingColumns=True)
+        starts = opening.join(hot, key, "left").withColumn("__sum", F.col("opening"))
+        markers = [starts.filter(~is_cut).select(key, F.lit(0).cast("bigint").alias(block), F.col("__sum").alias(move))]
+        sums = sums.unionByName(starts.filter(is_cut).select(key, F.lit(None).cast("bigint").alias(block), "__sum"))
+    earlier = Window.partitionBy(key).orderBy(F.col(block).asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = sums.select(key, block, F.sum("__sum").over(earlier).alias(move))
+    markers.append(offsets.filter(F.col(block).isNotNull()))
+
+    both = rows
+    for marker in markers:
+        both = both.unionByName(marker.withColumn(is_row, F.lit(0)), allowMissingColumns=True)
     inside = (Window.partitionBy(key, block).orderBy(is_row, seq)
               .rowsBetween(Window.unboundedPreceding, 0))
-    return (rows.withColumn(out, F.sum(moves).over(inside)).filter(F.col(is_row) == 1)
-            .drop(block, moves, is_row))
+    return (both.withColumn(out, F.sum(move).over(inside)).filter(F.col(is_row) == 1)
+            .select(*[F.col(f"`{c}`") for c in df.columns], out))
 
 
 def last_write(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

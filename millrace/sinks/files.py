@@ -50,7 +50,8 @@ def write_single_file(df: DataFrame, path: str, fmt: str = "csv", max_bytes: int
     so a file left there by an earlier run cannot be taken.
     """
     spark = df.sparkSession
-    staging = f"{path.rsplit('/', 1)[0]}/.staging-{uuid.uuid4().hex}"
+    folder = path.rsplit("/", 1)[0] if "/" in path else "."
+    staging = f"{folder}/.staging-{uuid.uuid4().hex}"
     options = {"header": True} if fmt == "csv" else {}
     df.write.parquet(f"{staging}/rows")
     staged = spark.read.schema(df.schema).parquet(f"{staging}/rows")
@@ -63,8 +64,8 @@ def write_single_file(df: DataFrame, path: str, fmt: str = "csv", max_bytes: int
         part = next(p for p, _, _ in children(spark, f"{staging}/one") if p.rsplit("/", 1)[1].startswith("part-"))
         _move(spark, part, path)
         written = [path]
-    fs, folder = _file_system(spark, staging)
-    fs.delete(folder, True)
+    fs, done = _file_system(spark, staging)
+    fs.delete(done, True)
     return written
 
 

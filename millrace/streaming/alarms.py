@@ -1,27 +1,49 @@
-"""Threshold alarms over a stream of closed windows."""
+"""Threshold alarms over a stream: closed windows first, then the state of each alarm."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.alarms import breach
+from ..operators.alarms import RULE_KEYS, Rule, breach, partial_statistics, picked_statistic, watched_points
 
 
-def alarm_states(windows: DataFrame, keys: Sequence[str], op: str, threshold: float, periods: int) -> DataFrame:
+def rule_windows(points: DataFrame, rules: list[Rule], delay: str = "10 minutes") -> DataFrame:
+    """(alarm, dimensions as JSON, period_start, value, op, threshold, periods) of closed windows.
+
+    One windowed aggregate per period length, all in one query. Rows later than ``delay`` are dropped.
+    """
+    timed = points.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+    closed = []
+    for period in sorted({r.period for r in rules}):
+        mine = watched_points(timed, [r for r in rules if r.period == period])
+        closed.append(
+            mine.groupBy(F.window("ts", f"{period} seconds").alias("__w"), *RULE_KEYS).agg(*partial_statistics())
+            .select("alarm", F.to_json(F.map_from_entries("__dims")).alias("dimensions"),
+                    F.col("__w.start").alias("period_start"), picked_statistic().alias("value"),
+                    "op", "threshold", "periods"))
+    return reduce(DataFrame.unionByName, closed)
+
+
+def with_rule(windows: DataFrame, op: str, threshold: float, periods: int) -> DataFrame:
+    """The same rule for every window of a plain statistic."""
+    return windows.withColumns({"op": F.lit(op), "threshold": F.lit(float(threshold)), "periods": F.lit(periods)})
+
+
+def alarm_states(windows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """ALARM / OK for each closed window, and whether that is a change.
 
-    ``windows`` streams (period_start, keys, value) in window order, as the append sink of
-    ``window_statistic`` writes them. The state of a key is its last ``periods`` breach bits and
-    its last alarm state; windows that never come leave it as it is.
+    ``windows`` streams (keys, period_start, value, op, threshold, periods) as an append sink wrote
+    them. The state of a key is its last breach bits, as many as its rule has periods, and its last
+    alarm state; windows that never come leave it as it is.
     """
     keys = list(keys)
-    flagged = windows.select(
-        *keys, "period_start", F.col("value").cast("double").alias("value"),
-        F.coalesce(breach(F.col("value"), F.lit(op), F.lit(float(threshold))), F.lit(False)).alias("breach"),
-    )
+    over = F.coalesce(breach(F.col("value"), F.col("op"), F.col("threshold")), F.lit(False))
+    flagged = windows.select(*keys, "period_start", F.col("value").cast("double").alias("value"),
+                             over.alias("breach"), "periods")
     key_ddl = [f"`{k}` {windows.schema[k].dataType.simpleString()}" for k in keys]
     out_schema = ", ".join([*key_ddl, "period_start TIMESTAMP", "value DOUBLE", "state STRING", "changed BOOLEAN"])
 
@@ -31,7 +53,7 @@ def alarm_states(windows: DataFrame, keys: Sequence[str], op: str, threshold: fl
         bits, last = state.get if state.exists else ("", None)
         rows = pd.concat(list(frames)).sort_values("period_start")
         states, changes = [], []
-        for breached in rows["breach"]:
+        for breached, periods in zip(rows["breach"], rows["periods"]):
             bits = (bits + ("1" if breached else "0"))[-periods:]
             now = "ALARM" if bits == "1" * periods else "OK"
             states.append(now)

@@ -96,7 +96,7 @@ def running_balance(t):
     amount = F.col("o_totalprice").cast("decimal(18,2)")
     moves = t.orders.select("o_orderkey", "o_custkey",
                             F.when(F.col("o_orderstatus") == "O", amount).otherwise(-amount).alias("posting"))
-    return (running_total(moves, "o_custkey", "o_orderkey", "posting", block_rows=4096)
+    return (running_total(moves, "o_custkey", "o_orderkey", "posting")
             .select("o_orderkey", "o_custkey", double("running")))
 
 
@@ -127,7 +127,7 @@ POSTED_SQL = """
 @query("WITH " + TRANSFERS_SQL.format(where="") + POSTED_SQL)
 def post_transfers(t):
     different = transfers(t).filter(F.col("from_acct") != F.col("to_acct"))
-    posted = ledger.post_transfers(different, accounts(t), block_rows=4096)
+    posted = ledger.post_transfers(different, accounts(t), hot_rows=500, block_rows=4096)
     return posted.select("trans_id", "account", double("posting"), double("balance"), "overdrawn")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.session import scratch_path
 from millrace.streaming import alarms, ingest, logs, metrics
 
-from .metrics import LOGS_SQL, log_lines
+from .metrics import HOURLY_RULES, LOGS_SQL, STATES_SQL, log_lines
 from .registry import Tables, as_ntz, query
 
 
@@ -44,11 +44,28 @@ def stream_window(t):
 def stream_alarm(t):
     folder = scratch_path(t.spark, "alarms")
     windows = ingest.new_files(t.spark, closed_windows(t), "period_start TIMESTAMP, event_type STRING, value DOUBLE")
-    states = alarms.alarm_states(windows, ["event_type"], ">=", 60, 3)
+    states = alarms.alarm_states(alarms.with_rule(windows, ">=", 60, 3), ["event_type"])
     ingest.run_available(states, f"{folder}/rows", f"{folder}/progress")
     return t.spark.read.parquet(f"{folder}/rows").withColumn("period_start", as_ntz("period_start"))
 
 
+@query(f"""
+    WITH open AS (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events)
+    SELECT alarm, '{{"type":"' || event_type || '"}}' AS dimensions, period_start, value, state FROM ({STATES_SQL}), open
+    WHERE period_start + CASE alarm WHEN 'high_value' THEN INTERVAL 1 HOUR ELSE INTERVAL 15 MINUTE END <= mark""")
+def stream_alarm_rules(t):
+    folder = scratch_path(t.spark, "rules")
+    stream = event_stream(t).select("ts", F.lit("value").alias("metric_name"), "value",
+                                    F.create_map(F.lit("type"), F.col("event_type")).alias("dimensions"))
+    closed = alarms.rule_windows(stream, HOURLY_RULES)
+    ingest.run_available(closed, f"{folder}/windows", f"{folder}/windows-progress")
+    windows = ingest.new_files(t.spark, f"{folder}/windows", closed.schema)
+    ingest.run_available(alarms.alarm_states(windows, ["alarm", "dimensions"]), f"{folder}/states",
+                         f"{folder}/states-progress")
+    return (t.spark.read.parquet(f"{folder}/states").withColumn("period_start", as_ntz("period_start"))
+            .drop("changed"))
+
+
 @query("SELECT event_id, event_type, value FROM events")
 def bookmark_ingest(t):
     """Two runs over a growing folder; the second one reads only what is new."""

@@ -150,7 +150,7 @@ def test_streaming_alarm_keeps_state_between_runs(spark, tmp_path):
         stats = metrics.window_statistic(stream, "ts", "value", ["host"], 60, "max", delay="0 seconds")
         ingest.run_available(stats, windows, f"{tmp_path}/wm")
         closed = ingest.new_files(spark, windows, spark.read.parquet(windows).schema)
-        ingest.run_available(alarms.alarm_states(closed, ["host"], ">=", 80, 3), states, f"{tmp_path}/sm")
+        ingest.run_available(alarms.alarm_states(alarms.with_rule(closed, ">=", 80, 3), ["host"]), states, f"{tmp_path}/sm")
         got = spark.read.parquet(states).orderBy("period_start").collect()
         return [(r["state"], r["changed"]) for r in got]
 

@@ -56,7 +56,7 @@ def test_schedule_rules(spark, day, amount, code):
 def test_post_and_rollup(spark, rows):
     transfers = spark.createDataFrame([(1, 100000, 100001, 600), (2, 100000, 100002, 600), (3, 100001, 100000, 300)],
                                       "trans_id BIGINT, from_acct BIGINT, to_acct BIGINT, amount INT")
-    posted = ledger.post_transfers(transfers, accounts(spark), block_rows=2)
+    posted = ledger.post_transfers(transfers, accounts(spark), hot_rows=2, block_rows=2)
     mine = posted.filter("account = 100000").orderBy("trans_id").collect()
     assert [(int(r["balance"]), r["overdrawn"]) for r in mine] == [(400, False), (-200, True), (100, False)]
     totals = {r["account"]: r["balance"] for r in ledger.balances(accounts(spark), posted).collect()}

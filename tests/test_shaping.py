@@ -48,6 +48,14 @@ def test_resolve_choice_on_variant(spark, rows):
     assert rows(shaping.resolve_choice(df, [("v", "cast:long")])) == [(1001,), (7,), (None,)]
 
 
+def test_choice_column_of_a_json_file(spark, rows, tmp_path):
+    (tmp_path / "p.json").write_text('{"provider id": 1001}\n{"provider id": "abc"}\n')
+    df = spark.read.schema("`provider id` VARIANT").json(str(tmp_path))
+    assert rows(shaping.resolve_choice(df, choice="make_cols")) == [(1001, None), (None, "abc")]
+    struct = shaping.resolve_choice(df, choice="make_struct")
+    assert sorted(map(str, (tuple(r[0]) for r in struct.collect()))) == ["(1001, None)", "(None, 'abc')"]
+
+
 def test_unbox(spark):
     df = spark.createDataFrame([(1, '{"a":3,"b":"foo","c":1.2}'), (2, "broken")], "id INT, json STRING")
     typed = shaping.unbox(df, "json", "a INT, b STRING, c DOUBLE")

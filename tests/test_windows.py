@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 from millrace.operators import windows
 
 
-@pytest.mark.parametrize("block_rows", [1, 7, 1 << 20])
-def test_running_total_with_a_hot_key(spark, rows, block_rows):
+@pytest.mark.parametrize("hot_rows, block_rows", [(0, 1), (50, 7), (50, 1 << 20), (1 << 20, 7)])
+def test_running_total_with_a_hot_key(spark, hot_rows, block_rows):
     rng = random.Random(3)
     data = [(1 if i % 3 == 0 else rng.randrange(20), i, rng.randrange(-50, 50)) for i in range(400)]
     opening = spark.createDataFrame([(1, 1000), (5, -3)], "k INT, opening INT")
     df = spark.createDataFrame(data, "k INT, seq INT, v INT")
-    got = windows.running_total(df, "k", "seq", "v", opening=opening, block_rows=block_rows)
+    got = windows.running_total(df, "k", "seq", "v", opening=opening, hot_rows=hot_rows,
+                                block_rows=block_rows)
     totals, expected = {1: 1000, 5: -3}, []
     for k, seq, v in data:
         totals[k] = totals.get(k, 0) + v
