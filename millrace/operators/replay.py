@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,52 +23,76 @@ from ..session import scratch_path
 
 HOT_ROWS = 4_000_000
 
+OPENING, DEPOSIT, WITHDRAW = 0, 1, 2
+
 
 def _fold(keys: Sequence[str], kept: Sequence[str]):
-    """Fold sorted rows: an opening row sets the balance, operations change it."""
+    """Fold sorted rows: an opening row sets the balance, operations change it.
+
+    Only the balance of the current group is carried from batch to batch.
+    """
     keys, kept = list(keys), list(kept)
 
     def fold(batches):
+        import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         current, balance = None, None
         for batch in batches:
-            groups = zip(*[batch.column(k).to_pylist() for k in keys])
-            is_op = batch.column("__op").to_pylist()
-            withdraws = batch.column("__kind").to_pylist()
-            cents = batch.column("__cents").to_pylist()
-            balances, accepted = [], []
-            for group, op, withdraw, amount in zip(groups, is_op, withdraws, cents):
-                if group != current:
-                    current, balance = group, None
-                if not op:
-                    balance = amount
-                elif balance is None:
-                    pass
-                elif amount is None or (withdraw and balance - amount < 0):
-                    balances.append(balance)
-                    accepted.append(False)
-                    continue
+            size = batch.num_rows
+            if size == 0:
+                continue
+            ends = {size}
+            for key in keys:
+                ends.update(pc.run_end_encode(batch.column(key)).run_ends.to_pylist())
+            codes = batch.column("__code").to_numpy(zero_copy_only=False)
+            is_op, withdraw = codes != OPENING, codes == WITHDRAW
+            amounts = batch.column("__cents")
+            missing = set(np.flatnonzero(amounts.is_null().to_numpy(zero_copy_only=False)).tolist())
+            cents = amounts.fill_null(0).to_numpy(zero_copy_only=False)
+            changes = np.where(withdraw, -cents, cents).tolist()
+            opens, takes = (~is_op).tolist(), withdraw.tolist()
+
+            balances, rejected, unknown = [0] * size, [], np.zeros(size, dtype=bool)
+            start = 0
+            for end in sorted(ends):
+                group = tuple(batch.column(k)[start].as_py() for k in keys) if start == 0 or end == size else None
+                if start or group != current:
+                    balance = None
+                while start < end and opens[start]:
+                    balance = None if start in missing else changes[start]
+                    start += 1
+                if balance is None:
+                    unknown[start:end] = True
                 else:
-                    balance = balance - amount if withdraw else balance + amount
-                balances.append(balance)
-                accepted.append(balance is not None)
+                    for i in range(start, end):
+                        after = balance + changes[i]
+                        if (after < 0 and takes[i]) or i in missing:
+                            rejected.append(i)
+                        else:
+                            balance = after
+                        balances[i] = balance
+                start, current = end, group
+            accepted = ~unknown
+            accepted[rejected] = False
             out = [batch.column(name) for name in kept]
-            out += [pa.array(balances, pa.int64()), pa.array(accepted, pa.bool_())]
+            out += [pa.array(np.array(balances, dtype="int64"), mask=unknown), pa.array(accepted)]
             result = pa.RecordBatch.from_arrays(out, names=[*kept, "__balance", "__accepted"])
-            yield result.filter(batch.column("__op"))
+            yield result.filter(pa.array(is_op))
 
     return fold
 
 
 def _folded(rows: DataFrame, keys: Sequence[str], kept: Sequence[str]) -> DataFrame:
+    rows = rows.select(*keys, *[c for c in kept if c not in keys and c != "__seq"], "__seq", "__code", "__cents")
     schema = T.StructType(
         [rows.schema[name] for name in kept]
         + [T.StructField("__balance", T.LongType()), T.StructField("__accepted", T.BooleanType())]
     )
     # Operations without an account all fail on their own; they need not meet in one task.
     nobody = F.when(F.col(keys[0]).isNull(), F.col("__seq"))
-    placed = rows.repartition(*keys, nobody).sortWithinPartitions(*keys, "__op", "__seq")
+    placed = rows.repartition(*keys, nobody).sortWithinPartitions(*keys, F.col("__seq").asc_nulls_first())
     return placed.mapInArrow(_fold(keys, kept), schema)
 
 
@@ -76,11 +100,11 @@ def _with_openings(ops: DataFrame, openings: DataFrame) -> DataFrame:
     return ops.unionByName(openings, allowMissingColumns=True)
 
 
-def _as_openings(frame: DataFrame, cents) -> DataFrame:
+def _as_openings(frame: DataFrame, cents: Column) -> DataFrame:
+    """Opening rows have no sequence number, so they sort before the operations of their group."""
     return frame.select(
-        *[c for c in frame.columns if c.startswith("__key")],
-        F.lit(False).alias("__op"), F.lit(None).cast("bigint").alias("__seq"),
-        F.lit(False).alias("__kind"), cents.alias("__cents"),
+        *[c for c in frame.columns if c.startswith("__key")], F.lit(None).cast("bigint").alias("__seq"),
+        F.lit(OPENING).cast("tinyint").alias("__code"), cents.alias("__cents"),
     )
 
 
@@ -119,7 +143,7 @@ def _walk(segments: list, start: dict, fold_block) -> list[tuple]:
 def _replay_hot(spark, ops: DataFrame, openings: DataFrame, kept: Sequence[str], hot_rows: int,
                 total: int) -> DataFrame:
     path = scratch_path(spark, "replay-blocks")
-    blocks = max(2, -(-2 * total // hot_rows))
+    blocks = max(2, -(-4 * total // hot_rows))
     (ops.repartitionByRange(blocks, "__key", "__seq").sortWithinPartitions("__key", "__seq")
         .withColumn("__block", F.spark_partition_id())
         .write.partitionBy("__block").parquet(path))
@@ -128,12 +152,13 @@ def _replay_hot(spark, ops: DataFrame, openings: DataFrame, kept: Sequence[str],
 
     in_block = (Window.partitionBy("__key", "__block").orderBy("__seq")
                 .rowsBetween(Window.unboundedPreceding, 0))
-    signed = F.when(F.col("__kind"), -F.col("__cents")).otherwise(F.col("__cents"))
+    withdraw = F.col("__code") == WITHDRAW
+    signed = F.when(withdraw, -F.col("__cents")).otherwise(F.col("__cents"))
     # At most one row per account and block it touches: accounts + blocks in all.
-    segments = (stored.select("__key", "__block", "__kind", signed.alias("__signed"),
+    segments = (stored.select("__key", "__block", "__code", signed.alias("__signed"),
                               F.sum(signed).over(in_block).alias("__sum"))
                 .groupBy("__key", "__block")
-                .agg(F.sum("__signed").alias("net"), F.max(F.when(F.col("__kind"), -F.col("__sum"))).alias("need"))
+                .agg(F.sum("__signed").alias("net"), F.max(F.when(withdraw, -F.col("__sum"))).alias("need"))
                 .orderBy("__key", "__block").collect())
     accounts = {row[0] for row in segments}
     start = {row[0]: row[1] for row in openings.select("__key", "__cents").collect() if row[0] in accounts}
@@ -144,21 +169,21 @@ def _replay_hot(spark, ops: DataFrame, openings: DataFrame, kept: Sequence[str],
         T.StructField("__entry", T.LongType()),
     ])
 
-    def fold_entries(entries: list, only_blocks: bool) -> DataFrame:
+    def fold_entries(entries: list, columns: Sequence[str], only_blocks: bool) -> DataFrame:
         frame = spark.createDataFrame([e for e in entries if e[2] is not None], entry_schema)
         rows = stored.withColumnRenamed("__block", "__key_block")
         if only_blocks:
             rows = rows.filter(F.col("__key_block").isin(sorted({e[1] for e in entries})))
             rows = rows.join(F.broadcast(frame.select("__key", "__key_block")), ["__key", "__key_block"], "left_semi")
         both = _with_openings(rows, _as_openings(frame, F.col("__entry")))
-        return _folded(both, ["__key", "__key_block"], kept)
+        return _folded(both, ["__key", "__key_block"], columns)
 
     def fold_block(pending: list) -> dict:
-        last = (fold_entries(pending, True).groupBy("__key")
+        last = (fold_entries(pending, ["__key", "__seq"], True).groupBy("__key")
                 .agg(F.max_by("__balance", "__seq").alias("balance")).collect())
         return {row[0]: row[1] for row in last}
 
-    return fold_entries(_walk([tuple(r) for r in segments], start, fold_block), False)
+    return fold_entries(_walk([tuple(r) for r in segments], start, fold_block), kept, False)
 
 
 def replay(ops: DataFrame, opening: DataFrame, account: str = "account", seq: str = "seq", kind: str = "kind",
@@ -171,15 +196,15 @@ def replay(ops: DataFrame, opening: DataFrame, account: str = "account", seq: st
     """
     spark = ops.sparkSession
     cents = (F.col(amount).cast("decimal(18,2)") * 100).cast("bigint")
-    typed = ops.select(
-        F.col(account).alias("__key"), F.lit(True).alias("__op"), F.col(seq).cast("bigint").alias("__seq"),
-        (F.col(kind) == "withdraw").alias("__kind"), cents.alias("__cents"), F.struct(*ops.columns).alias("__row"),
-    )
+    payload = [c for c in ops.columns if c not in (account, seq)]
+    code = F.when(F.col(kind).eqNullSafe("withdraw"), WITHDRAW).otherwise(DEPOSIT).cast("tinyint")
+    typed = ops.select(F.col(account).alias("__key"), F.col(seq).cast("bigint").alias("__seq"),
+                       code.alias("__code"), cents.alias("__cents"), *payload)
     openings = _as_openings(
         opening.select(F.col(account).alias("__key"), F.col("balance")),
         (F.col("balance").cast("decimal(18,2)") * 100).cast("bigint"),
     )
-    kept = ["__key", "__seq", "__row"]
+    kept = ["__key", "__seq", *payload]
 
     counts = typed.filter(F.col("__key").isNotNull()).groupBy("__key").agg(F.count("*").alias("n"))
     hot = counts.filter(F.col("n") > hot_rows).collect()
@@ -198,8 +223,9 @@ def replay(ops: DataFrame, opening: DataFrame, account: str = "account", seq: st
         done = cold.unionByName(hot_done)
 
     known = F.col("__balance").isNotNull()
+    own = {account: F.col("__key"), seq: F.col("__seq").cast(ops.schema[seq].dataType)}
     return done.select(
-        "__row.*",
+        *[own.get(c, F.col(f"`{c}`")).alias(c) for c in ops.columns],
         F.col("__accepted").alias("accepted"),
         (F.col("__balance").cast("decimal(18,0)") / 100).cast("decimal(18,2)").alias("balance"),
         F.when(~known, "ACCOUNT_NOT_EXISTS").when(~F.col("__accepted"), "TRANSACTION_EXCEPTION").alias("error_code"),
