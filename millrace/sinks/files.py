@@ -22,6 +22,15 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys: tuple[str, ...], buckets: int) -> None:
+    """A parquet table hashed and sorted by its join keys.
+
+    Two tables with the same keys and number of buckets join without a shuffle.
+    """
+    (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
+       .bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table))
+
+
 def write_pairs(counts: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Text lines of the form ``(word,count)``."""
     counts.select(F.format_string("(%s,%d)", *counts.columns)).write.mode(mode).text(path)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from fnmatch import fnmatch
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import types as T
 
 FORMATS = ("parquet", "json", "csv", "orc", "text")
 
@@ -36,20 +37,35 @@ def discover(spark: SparkSession, base: str, pattern: str = "*", fmt: str | None
     return tables
 
 
-def register(spark: SparkSession, tables: dict[str, dict], prefix: str = "") -> list[str]:
-    """Make a temp view per table spec: path, format, and optionally schema and options."""
+def register(spark: SparkSession, tables: dict[str, dict], prefix: str = "", persist: bool = False) -> list[str]:
+    """Name each table spec: path, format, and optionally schema and options.
+
+    A spec without a schema is inferred; for large JSON or CSV give one, or a ``samplingRatio``
+    option. The names are temp views, or with ``persist`` tables of the current database.
+    """
     names = []
-    for name, spec in tables.items():
-        reader = spark.read.format(spec["format"]).options(**spec.get("options", {}))
-        if spec.get("schema"):
-            reader = reader.schema(spec["schema"])
-        elif spec["format"] in ("json", "csv"):
-            reader = reader.option("inferSchema", True)
-        reader.load(spec["path"]).createOrReplaceTempView(f"{prefix}{name}")
-        names.append(f"{prefix}{name}")
+    for stem, spec in tables.items():
+        name, options = f"{prefix}{stem}", dict(spec.get("options", {}))
+        if persist:
+            schema = spec.get("schema") or _reader(spark, spec, options).load(spec["path"]).schema
+            if isinstance(schema, str):
+                schema = T.StructType.fromDDL(schema)
+            if spark.catalog.tableExists(name):
+                if spark.catalog.getTable(name).tableType != "EXTERNAL":
+                    raise ValueError(f"{name} is a table that owns its data")
+                spark.sql(f"DROP TABLE `{name}`")
+            spark.catalog.createTable(name, path=spec["path"], source=spec["format"], schema=schema, **options)
+        else:
+            _reader(spark, spec, options).load(spec["path"]).createOrReplaceTempView(name)
+        names.append(name)
     return names
 
 
+def _reader(spark: SparkSession, spec: dict, options: dict) -> DataFrameReader:
+    reader = spark.read.format(spec["format"]).options(**options)
+    return reader.schema(spec["schema"]) if spec.get("schema") else reader.option("inferSchema", True)
+
+
 def use(spark: SparkSession, database: str) -> None:
     spark.catalog.setCurrentDatabase(database)
 

@@ -65,13 +65,13 @@ def apdex_top5(t):
 
 def points(t: Tables) -> DataFrame:
     """Events as metric points with a service dimension."""
-    service = F.when(F.col("user_id") < 75, "python-app").otherwise("web")
+    service = F.when(F.col("value") < 35, "python-app").otherwise("web")
     return t.events.select("ts", F.lit("system.load.1").alias("metric_name"), cents("value").alias("value"),
                            F.create_map(F.lit("service"), service, F.lit("kind"), F.col("event_type")).alias("dimensions"))
 
 
 @query(f"""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS bucket_start, {MEAN} AS value FROM events
-           WHERE user_id < 75 GROUP BY 1""")
+           WHERE value < 35 GROUP BY 1""")
 def scoped_series(t):
     series = metrics.scoped_series(points(t), "system.load.1", {"service": "python-app"}, "1 hour")
     return series.withColumn("bucket_start", as_ntz("bucket_start"))
@@ -163,12 +163,12 @@ def log_lines(t: Tables) -> DataFrame:
     line = F.when(F.col("event_type") == "signup", F.concat(F.lit("signup "), "user_id")).otherwise(
         F.concat(stamp, F.lit(" "), level, F.lit(" user "), "user_id", F.lit(" "), "props"))
     return t.events.select(
-        "event_id", F.when(F.col("user_id") < 50, "python-app").otherwise("web").alias("service"),
+        "event_id", F.when(F.col("value") < 35, "python-app").otherwise("web").alias("service"),
         F.when(F.col("event_type") == "view", "lambda").otherwise("host").alias("source"), line.alias("line"))
 
 
 LOGS_SQL = """
-    SELECT event_id, CASE WHEN user_id < 50 THEN 'python-app' ELSE 'web' END AS service,
+    SELECT event_id, CASE WHEN value < 35 THEN 'python-app' ELSE 'web' END AS service,
            CASE WHEN event_type = 'view' THEN 'lambda' ELSE 'host' END AS source,
            CASE WHEN event_type <> 'signup' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS "timestamp",
            CASE WHEN event_type <> 'signup' THEN CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END END AS level,

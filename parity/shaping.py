@@ -162,11 +162,11 @@ def tag_map(t):
     return tagged.select("event_id", *[F.col("tags")[k].alias(k) for k in ("env", "kind", "who")])
 
 
-@query("SELECT event_id, event_type FROM events WHERE event_type = 'click' AND user_id < 50")
+@query("SELECT event_id, event_type FROM events WHERE event_type = 'click' AND value < 35")
 def dimension_filter(t):
-    scope = F.when(F.col("user_id") < 50, "inner").otherwise("outer")
-    tagged = t.events.withColumn("dims", F.create_map(F.lit("kind"), F.col("event_type"), F.lit("scope"), scope))
-    return tagged.filter(dimensions_match("dims", {"kind": "click", "scope": "inner"})).select("event_id", "event_type")
+    size = F.when(F.col("value") < 35, "small").otherwise("large")
+    tagged = t.events.withColumn("dims", F.create_map(F.lit("kind"), F.col("event_type"), F.lit("size"), size))
+    return tagged.filter(dimensions_match("dims", {"kind": "click", "size": "small"})).select("event_id", "event_type")
 
 
 @query("""SELECT event_id FROM events WHERE event_type IN ('error', 'purchase') AND value >= 100""")

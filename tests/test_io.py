@@ -112,6 +112,37 @@ def test_catalog(spark, tmp_path):
     catalog.use(spark, "default")
 
 
+def test_persistent_tables(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "one.parquet"))
+    (tmp_path / "two.csv").write_text("id,v\n1,a\n")
+    found = catalog.discover(spark, str(tmp_path))
+    found["two"] |= {"schema": "id INT, v STRING", "options": {"header": "true"}}
+    names = catalog.register(spark, found, prefix="kept_", persist=True)
+    try:
+        assert sorted(names) == ["kept_one", "kept_two"]
+        assert sorted(catalog.register(spark, found, prefix="kept_", persist=True)) == sorted(names)
+        assert spark.table("kept_one").count() == 3 and tuple(spark.table("kept_two").first()) == (1, "a")
+        assert not any(t.isTemporary for t in spark.catalog.listTables() if t.name.startswith("kept_"))
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    for name in ("left_side", "right_side"):
+        sinks.write_bucketed(spark.range(1000).withColumn(f"{name}_v", F.col("id") * 2), name, str(tmp_path / name),
+                             ("id",), 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("left_side").join(spark.table("right_side"), "id")
+        assert joined.count() == 1000
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("left_side", "right_side"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_literal_frames(spark):
     df = generate.frame(spark, [(8, "bat"), (64, "mouse")], [("number", generate.T.IntegerType(), True),
                                                             ("word", generate.T.StringType(), True)])
