@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,12 +45,30 @@ ALL_MINUTES_RULES = [
 APDEX_FLOOR = 0.75
 
 
-def rules_column(rules: list[Rule]) -> Column:
-    """All rules as one literal array, so that applying them needs no join."""
-    return F.array(*[
-        F.struct(*[F.lit(float(v) if name == "threshold" else v).alias(name) for name, v in asdict(rule).items()])
-        for rule in rules
-    ])
+def _struct(rule: Rule, *names: str) -> Column:
+    return F.struct(*[F.lit(getattr(rule, n)).cast(_TYPES[n]).alias(n) for n in names])
+
+
+_TYPES = {"alarm": "string", "period": "int", "stat": "string", "op": "string", "threshold": "double",
+          "periods": "int"}
+
+
+def rules_by_metric(rules: list[Rule]) -> Column:
+    """Metric name to the alarms that watch it, as one literal: applying rules needs no join."""
+    if len({r.alarm for r in rules}) != len(rules):
+        raise ValueError("alarm names must differ")
+    metrics: dict[str, list[Rule]] = {}
+    for rule in rules:
+        metrics.setdefault(rule.metric_name, []).append(rule)
+    pairs = [x for name, found in metrics.items()
+             for x in (F.lit(name), F.array(*[_struct(r, "alarm", "period") for r in found]))]
+    return F.create_map(*pairs)
+
+
+def rule_of(alarm: Column, rules: list[Rule]) -> Column:
+    """The statistic, comparison, threshold and number of periods of an alarm."""
+    return F.create_map(*[x for r in rules for x in (F.lit(r.alarm), _struct(r, "stat", "op", "threshold", "periods"))
+                          ])[alarm]
 
 
 def breach(value: Column, op: Column, threshold: Column) -> Column:
@@ -60,37 +78,38 @@ def breach(value: Column, op: Column, threshold: Column) -> Column:
 
 
 def watched_points(points: DataFrame, rules: list[Rule]) -> DataFrame:
-    """(ts, value, __dims, rule columns): one row per point and rule that looks at its metric.
+    """(ts, value, __dims, alarm, period): one row per point and rule that looks at its metric.
 
     Points are (ts, metric_name, value, dimensions map). Those of other metrics are filtered out in
     the scan. ``__dims`` holds the dimensions as sorted entries, so that their order does not matter.
     """
     watched = points.filter(F.col("metric_name").isin(sorted({r.metric_name for r in rules})))
-    fitting = F.filter(rules_column(rules), lambda rule: rule["metric_name"] == F.col("metric_name"))
+    fitting = F.try_element_at(rules_by_metric(rules), F.col("metric_name"))
     return watched.select("ts", "value", F.array_sort(F.map_entries("dimensions")).alias("__dims"), F.inline(fitting))
 
-
-RULE_KEYS = ["alarm", "stat", "op", "threshold", "periods", "__dims"]
-
 def partial_statistics() -> list[Column]:
     """All statistics a rule may ask for; the rule's own is picked after the aggregate."""
     return [F.max("value").alias("__max"), F.min("value").alias("__min"), F.sum("value").alias("__sum"),
             F.count("value").alias("__n")]
 
 
-def picked_statistic() -> Column:
-    return (F.when(F.col("stat") == "max", F.col("__max")).when(F.col("stat") == "min", F.col("__min"))
-            .when(F.col("stat") == "sum", F.col("__sum")).otherwise(F.col("__sum") / F.col("__n")))
+def ruled_statistics(grouped: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Attach the rule of each alarm to its groups and pick the statistic it asks for."""
+    ruled = grouped.withColumn("__rule", rule_of(F.col("alarm"), rules))
+    stat = F.col("__rule.stat")
+    value = (F.when(stat == "max", F.col("__max")).when(stat == "min", F.col("__min"))
+             .when(stat == "sum", F.col("__sum")).otherwise(F.col("__sum") / F.col("__n")))
+    return ruled.select("alarm", "__dims", "period_start", value.alias("value"),
+                        "__rule.op", "__rule.threshold", "__rule.periods")
 
 
 def period_values(points: DataFrame, rules: list[Rule]) -> DataFrame:
     """The statistic of each rule, dimension set and period: one shuffle for all rules."""
     second = F.unix_seconds(F.col("ts").cast("timestamp"))
     bucket = F.timestamp_seconds(second - F.pmod(second, F.col("period")))
-    grouped = (watched_points(points, rules).groupBy(*RULE_KEYS, bucket.alias("period_start"))
+    grouped = (watched_points(points, rules).groupBy("alarm", "__dims", bucket.alias("period_start"))
                .agg(*partial_statistics()))
-    return grouped.select("alarm", "__dims", "period_start", picked_statistic().alias("value"), "op", "threshold",
-                          "periods")
+    return ruled_statistics(grouped, rules)
 
 
 def evaluate(points: DataFrame, rules: list[Rule], changes_only: bool = False) -> DataFrame:

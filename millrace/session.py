@@ -21,23 +21,35 @@ SETTINGS = {
 
 # Bytes of shuffle input that one task should get before adaptive execution merges small ones.
 SHUFFLE_TASK_BYTES = 128 << 20
+# Bytes of files one scan task reads: small for small scans, larger where there would be too many tasks.
+SCAN_TASK_BYTES = (128 << 20, 1 << 30)
+SCAN_TASKS = 200_000
+
+
+def sizes(shuffle_bytes: int | None = None, scan_bytes: int | None = None) -> dict[str, str]:
+    """Settings that depend on the amount of data a job shuffles and scans."""
+    out = {}
+    if shuffle_bytes:
+        parts = max(200, -(-shuffle_bytes // SHUFFLE_TASK_BYTES))
+        out["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(parts)
+    if scan_bytes:
+        least, most = SCAN_TASK_BYTES
+        out["spark.sql.files.maxPartitionBytes"] = str(min(most, max(least, scan_bytes // SCAN_TASKS)))
+    return out
 
 
 def get_session(app: str = "millrace", master: str | None = None, conf: dict[str, str] | None = None,
-                shuffle_bytes: int | None = None) -> SparkSession:
+                shuffle_bytes: int | None = None, scan_bytes: int | None = None) -> SparkSession:
     """Build (or fetch) a session with the settings every job here expects.
 
     ``shuffle_bytes`` is the size of the largest shuffle of the job. It sets how many partitions
     adaptive execution starts from; it merges them where a shuffle turns out smaller.
+    ``scan_bytes`` is the size of the largest table read.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    sizes = {}
-    if shuffle_bytes:
-        parts = max(200, -(-shuffle_bytes // SHUFFLE_TASK_BYTES))
-        sizes["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(parts)
-    for key, value in {**SETTINGS, **sizes, **(conf or {})}.items():
+    for key, value in {**SETTINGS, **sizes(shuffle_bytes, scan_bytes), **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.alarms import RULE_KEYS, Rule, breach, partial_statistics, picked_statistic, watched_points
+from ..operators.alarms import Rule, breach, partial_statistics, ruled_statistics, watched_points
 
 
 def rule_windows(points: DataFrame, rules: list[Rule], delay: str = "10 minutes") -> DataFrame:
@@ -20,12 +20,11 @@ def rule_windows(points: DataFrame, rules: list[Rule], delay: str = "10 minutes"
     closed = []
     for period in sorted({r.period for r in rules}):
         mine = watched_points(timed, [r for r in rules if r.period == period])
-        closed.append(
-            mine.groupBy(F.window("ts", f"{period} seconds").alias("__w"), *RULE_KEYS).agg(*partial_statistics())
-            .select("alarm", F.to_json(F.map_from_entries("__dims")).alias("dimensions"),
-                    F.col("__w.start").alias("period_start"), picked_statistic().alias("value"),
-                    "op", "threshold", "periods"))
-    return reduce(DataFrame.unionByName, closed)
+        grouped = (mine.groupBy(F.window("ts", f"{period} seconds").alias("__w"), "alarm", "__dims")
+                   .agg(*partial_statistics()).withColumn("period_start", F.col("__w.start")))
+        closed.append(ruled_statistics(grouped, rules))
+    windows = reduce(DataFrame.unionByName, closed)
+    return windows.withColumn("dimensions", F.to_json(F.map_from_entries("__dims"))).drop("__dims")
 
 
 def with_rule(windows: DataFrame, op: str, threshold: float, periods: int) -> DataFrame:

@@ -210,3 +210,12 @@ def test_no_machine_local_folder_on_a_cluster():
     cluster.conf = cluster.sparkContext = cluster
     with pytest.raises(RuntimeError):
         session.shared_dir(cluster)
+
+
+def test_sizes_follow_the_data():
+    small = session.sizes(shuffle_bytes=1 << 30, scan_bytes=1 << 30)
+    large = session.sizes(shuffle_bytes=20 << 40, scan_bytes=100 << 40)
+    parts, scan = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes"
+    assert (small[parts], large[parts]) == ("200", str((20 << 40) // (128 << 20)))
+    assert small[scan] == str(128 << 20) and (128 << 20) < int(large[scan]) <= 1 << 30
+    assert session.sizes() == {}

@@ -71,6 +71,11 @@ def test_rules(spark):
         (None, "OK"), ("OK", "ALARM"), ("ALARM", "OK")]
 
 
+def test_alarm_names_must_differ():
+    with pytest.raises(ValueError):
+        alarms.rules_by_metric([alarms.RULES[0], alarms.RULES[0]])
+
+
 def test_dimension_order_does_not_split_a_series(spark):
     points = spark.createDataFrame([point(0, "Nodes", 5, {"x": "1", "y": "2"}), point(1, "Nodes", 2, {"y": "2", "x": "1"})],
                                    SCHEMA)
