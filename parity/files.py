@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators.grouping import word_count
 from millrace.operators.logs import process, with_event_day
 from millrace.operators.shaping import relationalize
+from millrace.plans.words import count_words
 from millrace.session import scratch_path
 from millrace.sinks import files as sinks
 from millrace.sources import catalog
 from millrace.sources import files as sources
 
 from .metrics import LOGS_SQL, log_lines
-from .registry import as_ntz, query
+from .registry import query
 
 
 @query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer")
@@ -30,13 +30,17 @@ def single_file(t):
     return sources.read_csv(t.spark, written)
 
 
-@query("""SELECT '(' || word || ',' || count(*) || ')' AS value FROM
-          (SELECT unnest(string_split(text, ' ')) AS word FROM conversations) WHERE word NOT LIKE E'%\\n%' GROUP BY word""")
+@query("""
+    WITH lines AS (SELECT unnest(string_split(text, E'\\n')) AS line FROM documents),
+    words AS (SELECT unnest(string_split(rtrim(line, ' '), ' ')) AS word FROM lines
+              WHERE line = '' OR rtrim(line, ' ') <> '')
+    SELECT '(' || word || ',' || count(*) || ')' AS value FROM words GROUP BY word""")
 def text_pairs(t):
-    path = scratch_path(t.spark, "pairs")
-    counts = word_count(t.conversations, "text").filter(~F.col("word").contains("\n"))
-    sinks.write_pairs(counts, path)
-    return sources.read_text(t.spark, path)
+    """Documents written as text files, counted by the word-count job, and its output read back."""
+    folder = scratch_path(t.spark, "pairs")
+    t.documents.select("text").write.text(f"{folder}/in")
+    count_words(t.spark, f"{folder}/in", f"{folder}/out")
+    return sources.read_text(t.spark, f"{folder}/out")
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderdate FROM orders")
