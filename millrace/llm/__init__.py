@@ -1,6 +1,6 @@
 """Operators for training-data pipelines. Nothing else in the library imports this subpackage."""
 
-from . import mixing, sharding  # noqa: F401
+from . import decontamination, mixing, sharding  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
