@@ -1,6 +1,6 @@
 """Operators for training-data pipelines. Nothing else in the library imports this subpackage."""
 
-from . import decontamination, jaccard_join, mixing, quality, sharding, token_files  # noqa: F401
+from . import decontamination, jaccard_join, mixing, quality, sharding, substring_dedup, suffix_dedup, token_files  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
