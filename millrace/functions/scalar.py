@@ -71,7 +71,8 @@ def join_all(separator: str, *parts: Column | str) -> Column:
 
 
 def seconds_to_millis(seconds: Column | str) -> Column:
-    return _col(seconds).try_cast("bigint") * F.lit(1000).cast("bigint")
+    """NULL where the seconds are no whole number or the milliseconds need more than 64 bits."""
+    return F.try_multiply(_col(seconds).try_cast("bigint"), F.lit(1000).cast("bigint"))
 
 
 def millis_to_timestamp(millis: Column | str) -> Column:

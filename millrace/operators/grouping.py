@@ -16,6 +16,11 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("row_count"))
 
 
+def lines(df: DataFrame, text: str) -> DataFrame:
+    """One row per line of a text column, named ``value`` as in a text source."""
+    return df.select(F.explode(F.split(text, "\n")).alias("value"))
+
+
 def word_count(lines: DataFrame, text: str = "value") -> DataFrame:
     """(word, count) over all lines. A hot word is one partial row per task, not a hot task."""
     return (lines.select(F.explode(space_tokens(text)).alias("word"))

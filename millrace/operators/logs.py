@@ -35,8 +35,15 @@ def process(logs: DataFrame, wanted: Column | None = None) -> DataFrame:
 
 
 def with_event_day(logs: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """Year, month and day columns of the log time, for a date-partitioned archive."""
-    when = F.col(ts).try_cast("timestamp")
+    """Year, month and day columns of the log time, for a date-partitioned archive.
+
+    Log times may have a comma before the fraction and no colons between the parts of time and offset.
+    """
+    text = F.regexp_replace(ts, ",", ".")
+    for short in (r"^(\S+[T ]\d{2})(\d{2})", r"^(\S+[T ]\d{2}:\d{2})(\d{2})", r"([T ]\S*[+-]\d{2})(\d{2})$"):
+        text = F.regexp_replace(text, short, "$1:$2")
+    text = F.regexp_replace(text, r"^(\S+[T ]\d{2}:\d{2})(Z|[+-]\S*)?$", "$1:00$2")
+    when = text.try_cast("timestamp")
     return logs.withColumns({
         "year": F.date_format(when, "yyyy"), "month": F.date_format(when, "MM"), "day": F.date_format(when, "dd"),
     })

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import millis_to_timestamp, null_if_token
-from ..session import checkpointed
+from ..session import stored
 
 # Type names a mapping may use, where they differ from Spark's own.
 TYPE_NAMES = {"long": "bigint", "integer": "int", "short": "smallint", "byte": "tinyint", "bool": "boolean"}
@@ -97,15 +97,33 @@ def drop_null_fields(df: DataFrame, by: str = "type") -> DataFrame:
     return df
 
 
+def _holds(kind: Column, target: str) -> Column:
+    """Whether values of a variant's kind are values of a type, without loss."""
+    if target in ("tinyint", "smallint", "int", "bigint"):
+        return kind == "BIGINT"
+    if target in ("float", "double") or target.startswith("decimal"):
+        return kind.isin("BIGINT", "FLOAT", "DOUBLE") | kind.startswith("DECIMAL")
+    return kind == target.upper()
+
+
 def _choice_branches(df: DataFrame, name: str, types: Sequence[str]) -> dict[str, Column]:
     """One column per candidate type; each value shows up in exactly one of them."""
     value = F.col(f"`{name}`")
-    if isinstance(df.schema[name].dataType, T.VariantType):
-        kind = F.schema_of_variant(value)
-        return {
-            t: F.when(kind == spark_type(t).upper(), F.try_variant_get(value, "$", spark_type(t))) for t in types
-        }
     branches: dict[str, Column] = {}
+    if isinstance(df.schema[name].dataType, T.VariantType):
+        left = ~F.is_variant_null(value)
+        for i, t in enumerate(types):
+            target = spark_type(t)
+            got = F.try_variant_get(value, "$", target)
+            if i < len(types) - 1:
+                fits = F.coalesce(_holds(F.schema_of_variant(value), target) & got.isNotNull(), F.lit(False))
+            else:
+                fits = F.lit(True)
+                if target == "string":
+                    got = F.coalesce(got, F.to_json(value))
+            branches[t] = F.when(left & fits, got)
+            left = left & ~fits
+        return branches
     taken = F.lit(False)
     for t in types:
         cast = value.try_cast(spark_type(t))
@@ -156,8 +174,10 @@ def json_schema(df: DataFrame, name: str) -> str:
     found = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(f"`{name}`")))).first()[0]
     if not found or not found.startswith("OBJECT<"):
         raise ValueError(f"column {name!r} holds no common JSON object (found {found})")
-    ddl = found.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("VARIANT", "STRING")
-    return re.sub(r"DECIMAL\(\d+,\d+\)", "DOUBLE", ddl)
+    # Types stand at the start, behind a colon or as the element of an array; the same words may be field names.
+    ddl = re.sub(r"(^|: |ARRAY<)OBJECT<", r"\1STRUCT<", found)
+    ddl = re.sub(r"(: |ARRAY<)(?:VOID|VARIANT)\b", r"\1STRING", ddl)
+    return re.sub(r"(: |ARRAY<)DECIMAL\(\d+,\d+\)", r"\1DOUBLE", ddl)
 
 
 def unbox(df: DataFrame, name: str, schema: str | T.StructType | None = None, flatten: bool = True) -> DataFrame:
@@ -186,11 +206,11 @@ def relationalize(df: DataFrame, root: str, key: str | None = None) -> dict[str,
 
     An array column in the parent holds the row's id; its child table has ``id`` (foreign key),
     ``index`` and ``val`` columns. ``key`` names a unique column to use as id. Without one,
-    ids are generated and the rows checkpointed, so that parent and children agree on them.
+    ids are generated and the rows written, so that parent and children agree on them.
     """
     if key is None:
         key = "__row_id"
-        df = checkpointed(df.withColumn(key, F.monotonically_increasing_id()))
+        df = stored(df.withColumn(key, F.monotonically_increasing_id()), "relationalize")
         tables = _relations(df, root, F.col(key), skip={key})
     else:
         tables = _relations(df, root, F.col(f"`{key}`"), skip=set())

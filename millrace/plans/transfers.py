@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ledger import balances, due_transfers, error_rollup, post_transfers, postings
-from ..session import checkpointed
+from ..session import stored
 
 
 def run_due(schedule: DataFrame, accounts: DataFrame, as_of: str) -> dict[str, DataFrame]:
@@ -14,7 +14,7 @@ def run_due(schedule: DataFrame, accounts: DataFrame, as_of: str) -> dict[str, D
 
     The checked transfers feed all four results, so they are written to the shared folder once.
     """
-    checked = checkpointed(due_transfers(schedule, accounts, as_of))
+    checked = stored(due_transfers(schedule, accounts, as_of), "due-transfers")
     accepted = checked.filter(F.col("error_code").isNull()).drop("error_code", "http_code", "error_type")
     rejected = checked.filter(F.col("error_code").isNotNull())
     return {

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,8 +59,7 @@ def get_session(app: str = "millrace", master: str | None = None, conf: dict[str
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors all see, as named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is only acceptable when driver and executors share one machine,
-    so anything but a ``local`` master without the setting is an error.
+    Without the setting it is a folder below the warehouse, which is shared as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -66,21 +67,52 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
-    return context.getCheckpointDir().rstrip("/")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/millrace-scratch"
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+# Paths in use, the innermost owner last. The first list belongs to the application.
+_owned: list[list[str]] = [[]]
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive the loss of any executor."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path below the shared folder. It is removed with its owner: the innermost ``scratch`` block, or else
+    the application when it ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if not _owned[0]:
+        # Now that a session runs: what is registered later is called earlier, before the session goes.
+        atexit.unregister(_release)
+        atexit.register(_release)
+    _owned[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Owns the scratch data that is made inside and removes it at the end. Results that read from it are to be
+    written, or collected, before."""
+    _owned.append([])
+    try:
+        yield
+    finally:
+        for path in _owned.pop():
+            remove(spark, path)
+
+
+def _release() -> None:
+    spark = SparkSession.getActiveSession()
+    while spark is not None and _owned[0]:
+        with suppress(Exception):
+            remove(spark, _owned[0].pop())
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a step to the shared folder and read it back: the rows survive the loss of any executor, and later reads
+    fetch only the columns they need."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -18,14 +18,10 @@ def put_items(df: DataFrame, put_batch: Callable[[list[dict]], None], keys: Sequ
     """
     items = last_write(df, keys, order) if order else df
 
-    def send(rows: Iterator) -> None:
-        batch = []
-        for row in rows:
-            batch.append(row.asDict(recursive=True))
-            if len(batch) == batch_rows:
-                put_batch(batch)
-                batch = []
-        if batch:
-            put_batch(batch)
-
-    items.foreachPartition(send)
+    def send(batches: Iterator) -> Iterator:
+        for batch in batches:
+            for start in range(0, batch.num_rows, batch_rows):
+                put_batch(batch.slice(start, batch_rows).to_pylist())
+            yield batch.slice(0, 0)
+
+    items.mapInArrow(send, items.schema).write.format("noop").mode("overwrite").save()

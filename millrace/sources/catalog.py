@@ -22,6 +22,11 @@ def children(spark: SparkSession, path: str) -> list[tuple[str, int, bool]]:
     return found
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop).isDirectory()
+
+
 def discover(spark: SparkSession, base: str, pattern: str = "*", fmt: str | None = None) -> dict[str, dict]:
     """Tables below ``base`` whose name matches: {name: {path, format}}. Names come from the entries.
 
@@ -33,6 +38,8 @@ def discover(spark: SparkSession, base: str, pattern: str = "*", fmt: str | None
         stem, _, extension = entry.partition(".")
         found = fmt or next((f for f in FORMATS if f in extension.split(".")), None)
         if found and fnmatch(stem, pattern):
+            if stem in tables:
+                raise ValueError(f"{path} and {tables[stem]['path']} would both be named {stem}")
             tables[stem] = {"path": path, "format": found}
     return tables
 

@@ -14,9 +14,12 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], header: bool = True, separator: str = ",",
-             schema: str | T.StructType | None = None) -> DataFrame:
-    """CSV with every column a string unless a schema is given; never an inference pass."""
-    reader = spark.read.options(header=header, sep=separator)
+             schema: str | T.StructType | None = None, multiline: bool = False) -> DataFrame:
+    """CSV with every column a string unless a schema is given; never an inference pass.
+
+    ``multiline`` is for values that hold line breaks; a file is then read by one task.
+    """
+    reader = spark.read.options(header=header, sep=separator, multiLine=multiline)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv([paths] if isinstance(paths, str) else list(paths))
@@ -29,15 +32,18 @@ def read_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 def read_json_array(spark: SparkSession, path: str, schema: str | T.StructType, per_line: bool = False) -> DataFrame:
     """Records of files that each hold one top-level JSON array.
 
-    A file in this form is parsed whole by one task. Where big files put each element on a line of
-    its own, ``per_line`` reads them as lines instead, so that one file feeds many tasks.
+    A file in this form is parsed whole by one task. Where no record of a big file goes across lines, ``per_line``
+    reads the file as lines instead, so that it feeds many tasks. A line may hold any number of records; one that does
+    not parse is an error.
     """
     if not per_line:
         return spark.read.schema(schema).option("multiLine", True).json(path)
-    record = F.rtrim(F.btrim(F.col("value"), F.lit(" \t\r")), F.lit(","))
-    return (spark.read.text(path).select(record.alias("record"))
-            .filter(~F.col("record").isin("[", "]", ""))
-            .select(F.from_json("record", schema).alias("record")).select("record.*"))
+    # Records are objects: brackets outside the first and last brace belong to the array around them.
+    records = F.regexp_replace("value", r"^\s*\[?[\s,]*|[\s,]*\]?[\s,]*$", "")
+    array = T.ArrayType(T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)
+    parsed = F.from_json(F.concat(F.lit("["), "records", F.lit("]")), array, {"mode": "FAILFAST"})
+    return (spark.read.text(path).select(records.alias("records")).filter(F.col("records") != "")
+            .select(F.inline(parsed)))
 
 
 def read_partitions(spark: SparkSession, path: str, only: Column, fmt: str = "parquet",

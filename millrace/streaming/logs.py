@@ -6,11 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.logs import process, with_event_day
-from .ingest import run_available
+
+DAYS = ("year", "month", "day")
 
 
 def archive_logs(stream: DataFrame, path: str, checkpoint: str, wanted: Column | None = None) -> StreamingQuery:
-    """Filter, remap, parse and archive all new lines, then stop."""
-    rows = with_event_day(process(stream, wanted))
-    return run_available(rows, path, checkpoint, fmt="json", partition_by=("year", "month", "day"),
-                         compression="gzip")
+    """Filter, remap, parse and archive all new lines, then stop.
+
+    The rows of a day are gathered before they are written, so that a run adds few files to it. Each batch has a folder
+    of its own (column ``batch``) that a repeated batch overwrites.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        (batch.hint("rebalance", *DAYS).write.mode("overwrite").partitionBy(*DAYS).option("compression", "gzip")
+         .json(f"{path}/batch={number}"))
+
+    query = (with_event_day(process(stream, wanted)).writeStream.foreachBatch(write)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    return query

@@ -4,36 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators.logs import process, with_event_day
 from millrace.operators.shaping import relationalize
+from millrace.plans.logs import archive
 from millrace.plans.words import count_words
 from millrace.session import scratch_path
 from millrace.sinks import files as sinks
+from millrace.sinks.items import put_items
 from millrace.sources import catalog
 from millrace.sources import files as sources
 
 from .metrics import LOGS_SQL, log_lines
-from .registry import query
+from .registry import WORDS_SQL, as_ntz, query
 
 
-@query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer")
+NOTE = """CASE o_orderstatus WHEN 'F' THEN NULL WHEN 'O' THEN 'say "' || o_orderpriority || '",' || {line_feed} || 'then |' ELSE o_orderpriority END"""
+NOTE_SQL = NOTE.format(line_feed="chr(10)")
+
+
+@query(f"SELECT o_orderkey, o_totalprice, o_orderdate, {NOTE_SQL} AS note FROM orders")
 def csv_roundtrip(t):
+    """Numbers, times, quotes, separators, line breaks and missing texts."""
     path = scratch_path(t.spark, "csv")
-    sinks.write_csv(t.customer.select("c_custkey", "c_name", "c_nationkey"), path, separator="|")
-    return sources.read_csv(t.spark, [path], separator="|")
+    orders = t.orders.select("o_orderkey", "o_totalprice", as_ntz("o_orderdate"),
+                             F.expr(NOTE.format(line_feed="chr(10)")).alias("note"))
+    sinks.write_csv(orders, path, separator="|")
+    return sources.read_csv(t.spark, [path], separator="|", schema=orders.schema, multiline=True)
+
+
+SUPPLIERS = "s_suppkey, s_name || chr(10) || '\"' AS s_name, s_nationkey, s_acctbal"
 
 
-@query("SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name FROM supplier")
+@query(f"""SELECT *, row_number() OVER (ORDER BY s_acctbal DESC, s_suppkey) - 1 AS line
+           FROM (SELECT {SUPPLIERS} FROM supplier)""")
 def single_file(t):
+    """A sorted frame in several tasks gives one sorted file."""
     path = f"{scratch_path(t.spark, 'single')}/suppliers.csv"
-    written = sinks.write_single_file(t.supplier.select("s_suppkey", "s_name"), path)
-    return sources.read_csv(t.spark, written)
+    rows = t.supplier.select("s_suppkey", F.concat("s_name", F.lit('\n"')).alias("s_name"), "s_nationkey", "s_acctbal")
+    ordered = rows.repartitionByRange(5, F.desc("s_acctbal"), "s_suppkey").sortWithinPartitions(F.desc("s_acctbal"), "s_suppkey")
+    written = sinks.write_single_file(ordered, path)
+    back = sources.read_csv(t.spark, written, schema=rows.schema, multiline=True)
+    return back.withColumn("line", F.monotonically_increasing_id())
 
 
-@query("""
-    WITH lines AS (SELECT unnest(string_split(text, E'\\n')) AS line FROM documents),
-    words AS (SELECT unnest(string_split(rtrim(line, ' '), ' ')) AS word FROM lines
-              WHERE line = '' OR rtrim(line, ' ') <> '')
+@query(f"""WITH {WORDS_SQL}
     SELECT '(' || word || ',' || count(*) || ')' AS value FROM words GROUP BY word""")
 def text_pairs(t):
     """Documents written as text files, counted by the word-count job, and its output read back."""
@@ -43,22 +56,66 @@ def text_pairs(t):
     return sources.read_text(t.spark, f"{folder}/out")
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderdate FROM orders")
+@query("""SELECT * EXCLUDE (o_totalprice), CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS o_totalprice
+          FROM orders""")
 def compact_files(t):
+    """Small files of two schemas; the older ones lack a column."""
     small, large = scratch_path(t.spark, "small"), scratch_path(t.spark, "large")
-    t.orders.select("o_orderkey", "o_custkey", "o_orderdate").repartition(24).write.parquet(small)
+    old = F.col("o_orderkey") % 3 == 0
+    t.orders.filter(old).drop("o_totalprice").repartition(8).write.parquet(small)
+    t.orders.filter(~old).repartition(16).write.mode("append").parquet(small)
     sinks.compact(t.spark, small, large, "parquet", pattern="part-*", target_bytes=64 << 20)
     return t.spark.read.parquet(large)
 
 
+@query("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+def item_puts(t):
+    """Every supplier put twice; the later write counts. Items are files named by their key."""
+    folder = scratch_path(t.spark, "items")
+    older = t.supplier.select("s_suppkey", F.lit("old").alias("s_name"), F.lit(0.0).alias("s_acctbal"), F.lit(1).alias("at"))
+    newer = t.supplier.select("s_suppkey", "s_name", "s_acctbal", F.lit(2).alias("at"))
+    put_items(older.unionByName(newer), put_files(folder), ["s_suppkey"], order=["at"])
+    return t.spark.read.schema(newer.drop("at").schema).json(folder)
+
+
+def put_files(folder: str):
+    def put(items: list[dict]) -> None:
+        import json
+
+        from pyarrow import fs
+
+        place = folder.replace("file:/", "file:///", 1) if folder.startswith("file:/") and "://" not in folder else folder
+        system, path = fs.FileSystem.from_uri(place)
+        system.create_dir(path, recursive=True)
+        for item in items:
+            with system.open_output_stream(f"{path}/{item['s_suppkey']}.json") as out:
+                out.write(json.dumps(item).encode())
+
+    return put
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders")
+def refreshed_orders(t):
+    """A registered folder that another job rewrites, read again after a refresh."""
+    path = scratch_path(t.spark, "refresh")
+    orders = t.orders.select("o_orderkey", "o_orderstatus")
+    orders.filter("o_orderstatus = 'F'").write.parquet(path)
+    catalog.register(t.spark, {"orders": {"path": path, "format": "parquet"}}, prefix="rewritten_")
+    before = t.spark.table("rewritten_orders").count()
+    orders.write.mode("overwrite").parquet(path)
+    catalog.refresh(t.spark, table="rewritten_orders", path=path)
+    assert t.spark.table("rewritten_orders").count() > before
+    return t.spark.table("rewritten_orders")
+
+
 @query(f"""SELECT event_id, service AS "dd.service", source, "timestamp", level, message,
                   substr("timestamp", 1, 4) AS year, substr("timestamp", 6, 2) AS month, substr("timestamp", 9, 2) AS day
-           FROM ({LOGS_SQL}) WHERE (service = 'python-app' OR source = 'lambda') AND "timestamp" IS NOT NULL""")
+           FROM ({LOGS_SQL}) WHERE service = 'python-app' OR source = 'lambda'""")
 def archive_roundtrip(t):
+    """All processed lines, those of another layout in the partition without a day."""
     path = scratch_path(t.spark, "archive")
-    rows = with_event_day(process(log_lines(t))).drop("line").filter(F.col("timestamp").isNotNull())
-    sinks.write_archive(rows, path)
-    return t.spark.read.schema(rows.schema).json(path)
+    rows = archive(log_lines(t), path)
+    return t.spark.read.schema(rows.schema).json(path).drop("line")
 
 
 @query("""SELECT event_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events
@@ -71,15 +128,20 @@ def partition_prune(t):
                                    schema=days.schema)
 
 
-@query("SELECT event_id, user_id, json_extract_string(props, '$.k') AS k FROM events")
+@query("""SELECT mode, event_id, user_id, json_extract_string(props, '$.k') AS k FROM events, (VALUES ('file'), ('line')) m(mode)""")
 def json_array(t):
-    """Events as JSON array files with one element per line, read as lines."""
+    """Files that each hold one array, over several lines with several elements each, read whole and line by line."""
     path = scratch_path(t.spark, "json-array")
-    record = F.to_json(F.struct("event_id", "user_id", F.from_json("props", "k STRING").alias("props")))
-    t.events.select(F.concat(record, F.lit(",")).alias("value")).write.text(path)
-    rows = sources.read_json_array(t.spark, path, "event_id BIGINT, user_id BIGINT, props STRUCT<k: STRING>",
-                                   per_line=True)
-    return rows.select("event_id", "user_id", "props.k")
+    record = F.struct("event_id", "user_id", F.from_json("props", "k STRING").alias("props"))
+    # Up to 500 elements per file, a line break after every third.
+    arrays = t.events.groupBy(F.expr("event_id div 500").alias("file")).agg(F.collect_list(record).alias("rows"))
+    pieces = F.transform("rows", lambda row, i: F.concat(F.to_json(row), F.when(i % 3 == 2, "\n").otherwise("")))
+    text = F.concat(F.lit("["), F.array_join(pieces, ","), F.lit("]"))
+    arrays.select("file", text.alias("value")).repartition("file").write.partitionBy("file").text(path)
+    schema = "event_id BIGINT, user_id BIGINT, props STRUCT<k: STRING>"
+    whole = sources.read_json_array(t.spark, f"{path}/*", schema).withColumn("mode", F.lit("file"))
+    lines = sources.read_json_array(t.spark, f"{path}/*", schema, per_line=True).withColumn("mode", F.lit("line"))
+    return whole.unionByName(lines).select("mode", "event_id", "user_id", "props.k")
 
 
 @query("""SELECT r_name, CAST(count(*) AS BIGINT) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey

@@ -7,6 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Words of documents, split into lines first and then at every single space.
+WORDS_SQL = """
+    lines AS (SELECT unnest(string_split(text, E'\\n')) AS line FROM documents),
+    words AS (SELECT unnest(string_split(rtrim(line, ' '), ' ')) AS word FROM lines
+              WHERE line = '' OR rtrim(line, ' ') <> '')"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 

@@ -66,13 +66,29 @@ def relationalize_child(t):
     return child.withColumn("val", F.col("val").cast("double"))
 
 
-@query("""SELECT conv_id, "speaker.role", "speaker.text" FROM (
-            SELECT conv_id, role AS "speaker.role", text AS "speaker.text" FROM conversations)""")
+@query("""SELECT conv_id, turn, role AS "speaker.role", text AS "speaker.text", len(string_split(text, ' ')) AS words
+          FROM conversations""")
 def relationalize_root(t):
+    """Rows without a key: generated ids link each root row with the elements of its array."""
     nested = t.conversations.select("conv_id", "turn", F.struct("role", "text").alias("speaker"),
                                     F.split("text", " ").alias("words"))
-    root = shaping.relationalize(nested, "talk")["talk"]
-    return root.select("conv_id", "`speaker.role`", "`speaker.text`")
+    tables = shaping.relationalize(nested, "talk")
+    counts = tables["talk_words"].groupBy("id").agg(F.count("val").alias("n"))
+    root = tables["talk"].join(counts, F.col("words") == F.col("id"), "left")
+    return root.select("conv_id", "turn", "`speaker.role`", "`speaker.text`", F.col("n").alias("words"))
+
+
+MIXED_JSON = """CASE event_id % 6 WHEN 0 THEN CAST(user_id AS {text}) WHEN 1 THEN '1.5' WHEN 2 THEN 'true'
+    WHEN 3 THEN props WHEN 4 THEN '"abc"' ELSE 'null' END"""
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 6 = 0 THEN user_id END AS v_long,
+                 CASE WHEN event_id % 6 = 1 THEN 1.5::DOUBLE END AS v_double, CASE WHEN event_id % 6 = 2 THEN true END AS v_boolean,
+                 CASE event_id % 6 WHEN 3 THEN replace(props, ' ', '') WHEN 4 THEN 'abc' END AS v_string FROM events""")
+def resolve_variant(t):
+    """Whole numbers, fractions, booleans, objects and texts in one column: no value is lost."""
+    mixed = t.events.select("event_id", F.parse_json(F.expr(MIXED_JSON.format(text="STRING"))).alias("v"))
+    return shaping.resolve_choice(mixed, [("v", "make_cols")], types=("long", "double", "boolean", "string"))
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")

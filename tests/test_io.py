@@ -20,7 +20,7 @@ def test_single_file_is_named_whole_and_alone(spark, tmp_path):
     (target.parent / "aaa-older.csv").write_text("stale")
     df = spark.range(100).select("id", F.when(F.col("id") % 2 == 0, 'a "b"\nc').otherwise("").alias("t"),
                                  F.lit(None).cast("string").alias("n")).repartition(5)
-    assert sinks.write_single_file(df, str(target)) == [str(target)]
+    assert sinks.write_single_file(df, str(target)) == str(target)
     assert sorted(p.name for p in target.parent.iterdir() if not p.name.startswith(".")) == ["aaa-older.csv", "list.csv"]
     back = spark.read.options(header=True, multiLine=True).csv(str(target))
     assert back.count() == 100 and back.filter("t = 'a \"b\"\nc'").count() == 50
@@ -28,24 +28,79 @@ def test_single_file_is_named_whole_and_alone(spark, tmp_path):
     assert target.read_text().splitlines()[0] == "id" and len(target.read_text().splitlines()) == 4
 
 
-def test_single_file_beyond_the_bound_keeps_all_rows_in_parts(spark, tmp_path):
-    written = sinks.write_single_file(spark.range(1000, numPartitions=4), str(tmp_path / "big.csv"), max_bytes=10)
-    assert len(written) > 1
-    assert files.read_csv(spark, str(tmp_path / "big.csv")).count() == 1000
-    assert not list(tmp_path.glob(".staging-*"))
+def test_single_file_is_one_file_at_any_size_and_in_order(spark, tmp_path):
+    target = tmp_path / "big.csv"
+    rows = spark.range(300000, numPartitions=7).selectExpr("299999 - id AS id", "repeat('y', 300) AS t")
+    sinks.write_single_file(rows.repartitionByRange(9, "id").sortWithinPartitions("id"), str(target))
+    assert target.is_file() and target.stat().st_size > 64 << 20
+    with target.open() as lines:
+        assert next(lines) == "id,t\n"
+        assert [int(line.split(",")[0]) for line in lines] == list(range(300000))
+    assert not list(tmp_path.glob(".staging-*")) and not list(tmp_path.glob("*.old-*"))
+    with pytest.raises(ValueError):
+        sinks.write_single_file(rows, str(target), "parquet")
+
+
+def test_single_file_survives_a_failed_write(spark, tmp_path):
+    target = tmp_path / "list.csv"
+    sinks.write_single_file(spark.range(3), str(target))
+    before = target.read_text()
+    with pytest.raises(Exception, match="wrong"):
+        sinks.write_single_file(spark.range(3).selectExpr("CAST(raise_error('wrong') AS INT) AS id"), str(target))
+    assert target.read_text() == before and not list(tmp_path.glob(".staging-*"))
+
+
+def test_write_parts(spark, tmp_path):
+    sinks.write_parts(spark.range(1000, numPartitions=4), str(tmp_path / "parts"))
+    assert len(list((tmp_path / "parts").glob("part-*"))) == 4
+    assert files.read_csv(spark, str(tmp_path / "parts")).count() == 1000
 
 
 def test_compact(spark, tmp_path):
     spark.range(1000).selectExpr("id", "id * 2 AS d").repartition(20).write.option("header", True).csv(str(tmp_path / "in"))
     (tmp_path / "in" / "notes.txt").write_text("not data")
-    n = sinks.compact(spark, str(tmp_path / "in"), str(tmp_path / "out"), "csv", "part-*.csv", header=True)
+    schema = "id BIGINT, d BIGINT"
+    n = sinks.compact(spark, str(tmp_path / "in"), str(tmp_path / "out"), "csv", "part-*.csv", schema=schema, header=True)
     assert n == 20 and len(list((tmp_path / "out").glob("part-*"))) == 1
     assert files.read_csv(spark, str(tmp_path / "out")).selectExpr("sum(id)").first()[0] == 499500
     many = sinks.compact(spark, str(tmp_path / "in"), str(tmp_path / "out4"), "csv", "part-*.csv", target_bytes=2500,
-                         header=True)
+                         schema=schema, header=True)
     assert many == 20 and 1 < len(list((tmp_path / "out4").glob("part-*"))) < 20
     with pytest.raises(FileNotFoundError):
-        sinks.compact(spark, str(tmp_path / "in"), str(tmp_path / "x"), "csv", "none-*")
+        sinks.compact(spark, str(tmp_path / "in"), str(tmp_path / "x"), "csv", "none-*", schema=schema)
+    with pytest.raises(ValueError):
+        sinks.compact(spark, str(tmp_path / "in"), str(tmp_path / "x"), "csv")
+
+
+@pytest.mark.parametrize("older_first", [True, False])
+def test_compact_keeps_columns_that_only_some_files_have(spark, tmp_path, older_first):
+    frames = [spark.range(5), spark.range(5, 9).withColumn("extra", F.lit("x"))]
+    for df in frames if older_first else reversed(frames):
+        df.write.mode("append").parquet(str(tmp_path / "in"))
+    sinks.compact(spark, str(tmp_path / "in"), str(tmp_path / "out"), "parquet")
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(out.columns) == ["extra", "id"] and out.count() == 9 and out.filter("extra = 'x'").count() == 4
+
+
+@pytest.mark.parametrize("text", ['[{"a":1},{"a":2}]', '[ {"a":1}, {"a":2} ]', '[\n{"a":1},\n{"a":2}\n]\n', '[{"a":1}\n,{"a":2}]',
+                                  '\n [\t{"a":1},{"a":2},\n]'])
+def test_json_arrays_lose_no_record(spark, tmp_path, text):
+    (tmp_path / "a.json").write_text(text)
+    rows = files.read_json_array(spark, str(tmp_path / "a.json"), "a INT", per_line=True)
+    assert sorted(r["a"] for r in rows.collect()) == [1, 2]
+
+
+def test_json_array_line_that_does_not_parse(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"a":1},\nbroken\n]')
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        files.read_json_array(spark, str(tmp_path / "a.json"), "a INT", per_line=True).collect()
+
+
+def test_repeated_table_names_are_an_error(spark, tmp_path):
+    spark.range(1).write.parquet(str(tmp_path / "orders.parquet"))
+    (tmp_path / "orders.csv").write_text("id\n1\n")
+    with pytest.raises(ValueError, match="orders"):
+        catalog.discover(spark, str(tmp_path))
 
 
 def test_csv_sources(spark, tmp_path):
@@ -64,6 +119,16 @@ def test_word_count_job(spark, tmp_path):
     assert lines == ["(,1)", "(be,2)", "(not,1)", "(or,1)", "(to,2)"]
 
 
+def test_log_days_of_all_accepted_times(spark):
+    from millrace.operators.logs import parse_lines, with_event_day
+
+    times = ["2024-01-02 03:04:05,6", "2024-01-02T0304", "2024-01-02 030405.25", "2024-01-02T03:04Z", "2024-01-02T01:04:05+0200",
+             "2024-01-02 03:04:05-03:00"]
+    df = spark.createDataFrame([(f"{t} INFO x",) for t in times], "line STRING")
+    days = [(r["year"], r["month"], r["day"]) for r in with_event_day(parse_lines(df)).collect()]
+    assert days == [("2024", "01", "02")] * 4 + [("2024", "01", "01"), ("2024", "01", "02")]
+
+
 def test_log_archive(spark, tmp_path):
     lines = [("python-app", "host", f"2024-01-0{d}T10:00:00Z INFO n{i}") for d in (1, 2) for i in range(5)]
     df = spark.createDataFrame(lines + [("other", "host", "x")], "service STRING, source STRING, line STRING")
@@ -196,20 +261,28 @@ def test_shared_folder(spark):
     assert session.scratch_path(spark, "x").startswith(session.shared_dir(spark))
 
 
-def test_no_machine_local_folder_on_a_cluster():
+def test_shared_folder_is_configured_or_below_the_warehouse():
     class Stub:
-        master = "spark://somewhere:1"
+        def __init__(self, **conf):
+            self.settings = conf
+            self.conf = self.sparkContext = self
 
-        def get(self, *_):
-            return None
+        def get(self, name, default=None):
+            return self.settings.get(name, default)
 
         def getCheckpointDir(self):
             return None
 
-    cluster = Stub()
-    cluster.conf = cluster.sparkContext = cluster
-    with pytest.raises(RuntimeError):
-        session.shared_dir(cluster)
+    assert session.shared_dir(Stub(**{"spark.checkpoint.dir": "hdfs://x/tmp/"})) == "hdfs://x/tmp"
+    assert session.shared_dir(Stub(**{"spark.sql.warehouse.dir": "hdfs://x/wh"})) == "hdfs://x/wh/millrace-scratch"
+
+
+def test_scratch_data_goes_with_its_owner(spark):
+    with session.scratch(spark):
+        df = session.stored(spark.range(5), "owned")
+        folder = df.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+        assert df.count() == 5 and Path(folder).is_dir()
+    assert not Path(folder).exists()
 
 
 def test_sizes_follow_the_data():
