@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 
 def prefix_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str] | str,
                 right_keys: Sequence[str] | str, how: str = "inner") -> DataFrame:
@@ -64,30 +66,33 @@ def fanout_counts(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: never more than ``rows / hot_rows`` of them."""
+    """Keys with more than ``hot_rows`` rows and their rows: never more than ``rows / hot_rows`` of them."""
     return (df.groupBy(*keys).agg(F.count("*").alias("__rows"))
-            .filter(F.col("__rows") > hot_rows).select(*keys))
+            .filter(F.col("__rows") > hot_rows).select(*keys, "__rows"))
 
 
 def salted_join(fact: DataFrame, other: DataFrame, keys: Sequence[str], salt_by: Sequence[str],
-                how: str = "inner", salts: int = 64, hot_rows: int = 2_000_000) -> DataFrame:
+                how: str = "inner", hot_rows: int = 2_000_000) -> DataFrame:
     """Join with a fact side whose hottest keys hold a large share of the rows.
 
-    Rows of hot keys are spread over ``salts`` tasks by a hash of ``salt_by`` (columns that differ
-    within a key, so that the spread is the same if a task is run again); the matching rows of the
-    other side are repeated once per salt. Keys below ``hot_rows`` are not touched. The list of
-    hot keys is bounded by ``rows / hot_rows`` and is the only thing broadcast.
+    Rows of a hot key are spread by a hash of ``salt_by`` (columns that differ within a key, so that the spread is the
+    same if a task is run again) over as many salts as it has times ``hot_rows`` rows, so a salt has about that many at
+    any size. The matching rows of the other side are repeated once per salt of their key; other keys are not touched.
+    Rows without a key match nothing: in a left join they bypass it.
     """
     if how not in ("inner", "left", "left_outer"):
         raise ValueError("the repeated side must be the right side of an inner or left join")
     keys = list(keys)
-    hot = F.broadcast(hot_keys(fact, keys, hot_rows).withColumn("__hot", F.lit(True)))
-    spread = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
     unmatched = reduce(Column.__or__, (F.col(k).isNull() for k in keys))
-    salted = (fact.join(hot, keys, "left")
-              .withColumn("__salt", F.when(F.col("__hot") | unmatched, spread).otherwise(F.lit(0))).drop("__hot"))
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    # A written table of known size: Spark broadcasts it where it is small.
+    hot = stored(hot_keys(fact.filter(~unmatched), keys, hot_rows)
+                 .withColumn("__salts", F.ceil(F.col("__rows") / max(1, hot_rows)).cast("int")).drop("__rows"), "hot-keys")
+    salts = F.coalesce(F.col("__salts"), F.lit(1))
+    salted = (fact.filter(~unmatched).join(hot, keys, "left")
+              .withColumn("__salt", F.pmod(F.xxhash64(*salt_by), salts).cast("int")).drop("__salts"))
     repeated = (other.join(hot, keys, "left")
-                .withColumn("__salt", F.explode(F.when(F.col("__hot"), every).otherwise(F.array(F.lit(0)))))
-                .drop("__hot"))
-    return salted.join(repeated, [*keys, "__salt"], how).drop("__salt")
+                .withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("__salts"))
+    joined = salted.join(repeated, [*keys, "__salt"], how).drop("__salt")
+    if how == "inner":
+        return joined
+    return joined.unionByName(fact.filter(unmatched), allowMissingColumns=True)

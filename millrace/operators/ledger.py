@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import parse_us_date, same_text
+from ..session import stored
 from .windows import running_total
 
 # Error code, message, HTTP status, error type.
@@ -55,27 +56,36 @@ def account_number(text: Column | str) -> Column:
     return F.when(text.rlike(r"^[+-]?[0-9]+\z"), text.try_cast("int")).cast("bigint")
 
 
-def _known(accounts: DataFrame, name: str, *extra: str) -> DataFrame:
-    """One row per account id, marked as known, with extra columns of the account."""
-    details = [F.max(c).alias(f"__{c}") for c in extra]
-    return (accounts.groupBy(F.col("id").cast("bigint").alias(name))
-            .agg(F.lit(True).alias(f"__has_{name}"), *details))
-
-
-def _transfer_error() -> Column:
+def _request_error() -> Column:
+    """What a request shows by itself."""
     return (F.when(F.col("from_acct").isNull() | F.col("to_acct").isNull(), "INVALID_ACCOUNT_FORMAT")
             .when(same_text("from_account", "to_account"), "FROM_TO_ACCOUNT_IS_SAME")
-            .when(F.col("amount") < 0, "TRANSFER_AMOUNT_ZERO_OR_NEGATIVE")
-            .when(F.col("__has_from_acct").isNull() | F.col("__has_to_acct").isNull(), "ACCOUNT_NOT_EXISTS"))
+            .when(F.col("amount") < 0, "TRANSFER_AMOUNT_ZERO_OR_NEGATIVE"))
+
 
+def _checked(requests: DataFrame, accounts: DataFrame, late: Column | None = None, *extra: str) -> DataFrame:
+    """Requests with parsed account numbers and error columns.
 
-def _resolved(requests: DataFrame, accounts: DataFrame, *extra: str) -> DataFrame:
-    """Requests with parsed account numbers, looked up; ``extra`` columns are those of the sender."""
+    Requests that fail by themselves are not looked up, so requests without a readable number meet nowhere. The
+    accounts are written once with one row per id: both look-ups are plain joins to a table, which Spark splits where
+    one account has very many requests. ``late`` is a rule for those that pass, over the ``extra`` columns of the
+    sender's account, named with two underscores.
+    """
     typed = requests.withColumns(
         {"from_acct": account_number("from_account"), "to_acct": account_number("to_account")}
     )
-    return (typed.join(_known(accounts, "from_acct", *extra), "from_acct", "left")
-            .join(_known(accounts, "to_acct"), "to_acct", "left"))
+    known = stored(accounts.groupBy(F.col("id").cast("bigint").alias("__id")).agg(
+        F.lit(True).alias("__known"), *[F.max(c).alias(f"__{c}") for c in extra]), "accounts")
+    failed = typed.withColumn("error_code", _request_error()).filter(F.col("error_code").isNotNull())
+    sender = known.withColumnsRenamed({"__id": "from_acct", "__known": "__has_from"})
+    receiver = known.select(F.col("__id").alias("to_acct"), F.col("__known").alias("__has_to"))
+    found = (typed.filter(_request_error().isNull()).join(sender, "from_acct", "left")
+             .join(receiver, "to_acct", "left"))
+    missing = F.when(F.col("__has_from").isNull() | F.col("__has_to").isNull(), "ACCOUNT_NOT_EXISTS")
+    passed = found.withColumn("error_code", missing if late is None else F.coalesce(missing, late))
+    columns = [*typed.columns, "error_code"]
+    both = failed.select(*columns).unionByName(passed.select(*columns))
+    return with_error(both, F.col("error_code"))
 
 
 def validate_transfers(requests: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -83,8 +93,8 @@ def validate_transfers(requests: DataFrame, accounts: DataFrame) -> DataFrame:
 
     Zero passes the amount rule. Adds the parsed ``from_acct``/``to_acct`` and the error columns.
     """
-    checked = with_error(_resolved(requests, accounts), _transfer_error())
-    return checked.select(*requests.columns, "from_acct", "to_acct", "error_code", "http_code", "error_type")
+    return _checked(requests, accounts).select(
+        *requests.columns, "from_acct", "to_acct", "error_code", "http_code", "error_type")
 
 
 def check_schedules(requests: DataFrame, accounts: DataFrame, as_of: str) -> DataFrame:
@@ -94,14 +104,10 @@ def check_schedules(requests: DataFrame, accounts: DataFrame, as_of: str) -> Dat
     not reserve money, so each row is compared with the same balance.
     """
     dated = requests.withColumn("sch_transfer_date", parse_us_date("schedule_date"))
-    rows = _resolved(dated, accounts, "balance")
-    code = F.coalesce(
-        _transfer_error(),
-        F.when(F.col("sch_transfer_date").isNull(), "INVALID_DATE_FORMAT")
-        .when(F.col("sch_transfer_date") < F.lit(as_of).cast("date"), "PAST_TRANSFER_DATE")
-        .when(F.col("__balance") < F.col("amount"), "AMOUNT_OVERDRAWN"),
-    )
-    return with_error(rows, code).select(
+    late = (F.when(F.col("sch_transfer_date").isNull(), "INVALID_DATE_FORMAT")
+            .when(F.col("sch_transfer_date") < F.lit(as_of).cast("date"), "PAST_TRANSFER_DATE")
+            .when(F.col("__balance") < F.col("amount"), "AMOUNT_OVERDRAWN"))
+    return _checked(dated, accounts, late, "balance").select(
         *requests.columns, "from_acct", "to_acct", "sch_transfer_date", "error_code", "http_code", "error_type"
     )
 
@@ -129,7 +135,9 @@ def post_transfers(transfers: DataFrame, opening: DataFrame, seq: str = "trans_i
     of every earlier transfer of both accounts, which is serial.
     """
     start = opening.select(F.col("id").alias("account"), F.col("balance").cast("decimal(18,2)").alias("opening"))
-    running = running_total(postings(transfers), "account", seq, "posting", "balance", opening=start, **blocks)
+    # A transfer to the own account posts twice: the debit comes first.
+    numbered = postings(transfers).withColumn("__no", F.col(seq) * 2 + (F.col("posting") > 0).cast("int"))
+    running = running_total(numbered, "account", "__no", "posting", "balance", opening=start, **blocks).drop("__no")
     return (running.withColumn("balance", F.col("balance").cast("decimal(18,2)"))
             .withColumn("overdrawn", F.col("balance") < 0))
 

@@ -8,7 +8,7 @@ The fold over one account is serial by nature, but only where a rejection can ha
 * Larger accounts are cut into range blocks, written to the shared folder. For each block Spark
   computes its net change and the balance it needs to pass without any rejection. A walk over
   these few numbers gives the balance before each block; only a block that is entered with too
-  little is folded on the way. Then all blocks are folded at once, in parallel.
+  little is folded on the way, together with those behind it. Then all blocks are folded at once, in parallel.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ def _fold(keys: Sequence[str], kept: Sequence[str]):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        current, balance = None, None
+        current, balance, step = None, None, 64
         for batch in batches:
             size = batch.num_rows
             if size == 0:
@@ -49,35 +49,42 @@ def _fold(keys: Sequence[str], kept: Sequence[str]):
             codes = batch.column("__code").to_numpy(zero_copy_only=False)
             is_op, withdraw = codes != OPENING, codes == WITHDRAW
             amounts = batch.column("__cents")
-            missing = set(np.flatnonzero(amounts.is_null().to_numpy(zero_copy_only=False)).tolist())
             cents = amounts.fill_null(0).to_numpy(zero_copy_only=False)
-            changes = np.where(withdraw, -cents, cents).tolist()
-            opens, takes = (~is_op).tolist(), withdraw.tolist()
+            gone = amounts.is_null().to_numpy(zero_copy_only=False)
+            changes = np.where(withdraw, -cents, cents)
+            changes[gone] = 0
+            opens = (~is_op).tolist()
 
-            balances, rejected, unknown = [0] * size, [], np.zeros(size, dtype=bool)
+            balances, rejected, unknown = np.zeros(size, dtype="int64"), gone & is_op, np.zeros(size, dtype=bool)
             start = 0
             for end in sorted(ends):
                 group = tuple(batch.column(k)[start].as_py() for k in keys) if start == 0 or end == size else None
                 if start or group != current:
                     balance = None
                 while start < end and opens[start]:
-                    balance = None if start in missing else changes[start]
+                    balance = None if gone[start] else int(changes[start])
                     start += 1
                 if balance is None:
                     unknown[start:end] = True
-                else:
-                    for i in range(start, end):
-                        after = balance + changes[i]
-                        if (after < 0 and takes[i]) or i in missing:
-                            rejected.append(i)
-                        else:
-                            balance = after
-                        balances[i] = balance
+                    start = end
+                while start < end:
+                    # Sums up to the next rejection, in stretches that grow while nothing is rejected.
+                    stretch = slice(start, min(end, start + step))
+                    after = balance + np.cumsum(changes[stretch])
+                    low = (after < 0) & withdraw[stretch]
+                    n = int(low.argmax()) if low.any() else len(after)
+                    balances[start:start + n] = after[:n]
+                    balance = int(after[n - 1]) if n else balance
+                    start += n
+                    step = min(4096, step * 2) if n == len(after) else 64
+                    if n < len(after):
+                        rejected[start] = True
+                        balances[start] = balance
+                        start += 1
                 start, current = end, group
-            accepted = ~unknown
-            accepted[rejected] = False
+            accepted = ~unknown & ~rejected
             out = [batch.column(name) for name in kept]
-            out += [pa.array(np.array(balances, dtype="int64"), mask=unknown), pa.array(accepted)]
+            out += [pa.array(balances, mask=unknown), pa.array(accepted)]
             result = pa.RecordBatch.from_arrays(out, names=[*kept, "__balance", "__accepted"])
             yield result.filter(pa.array(is_op))
 
@@ -108,16 +115,18 @@ def _as_openings(frame: DataFrame, cents: Column) -> DataFrame:
     )
 
 
-def _walk(segments: list, start: dict, fold_block) -> list[tuple]:
+def _walk(segments: list, start: dict, fold_blocks) -> list[tuple]:
     """The balance before each block of each hot account: (account, block, balance).
 
-    ``segments`` is sorted (account, block, net, need); ``start`` has opening balances.
-    ``fold_block`` gets a list of (account, block, balance) and returns account -> balance.
+    ``segments`` is sorted (account, block, net, need); ``start`` has opening balances. A block entered with what it
+    needs is passed by its numbers. From one entered with less on, blocks are folded: one in the first round, twice
+    as many in each next one while that does not end, so rounds count the switches between the two and not the blocks.
+    ``fold_blocks`` gets a list of (account, blocks, balance) and returns (account, block) -> balance after it.
     """
     chains: dict = {}
     for account, block, net, need in segments:
         chains.setdefault(account, []).append((block, net, need))
-    entries, balances, position = [], dict(start), dict.fromkeys(chains, 0)
+    entries, balances, position, width = [], dict(start), dict.fromkeys(chains, 0), dict.fromkeys(chains, 1)
     active = set(chains)
     while active:
         pending = []
@@ -125,18 +134,27 @@ def _walk(segments: list, start: dict, fold_block) -> list[tuple]:
             chain, balance = chains[account], balances.get(account)
             while position[account] < len(chain):
                 block, net, need = chain[position[account]]
+                by_numbers = balance is None or need is None or balance >= need
+                if not by_numbers and position[account] < len(chain) - 1:
+                    blocks = [b for b, _, _ in chain[position[account]:position[account] + width[account]]]
+                    pending.append((account, blocks, balance))
+                    width[account] *= 2
+                    break
                 entries.append((account, block, balance))
                 position[account] += 1
-                if balance is None or need is None or balance >= need:
+                if by_numbers:
                     balance = None if balance is None else balance + net
-                elif position[account] < len(chain):
-                    pending.append((account, block, balance))
-                    break
-            balances[account] = balance
-            if not pending or pending[-1][0] != account:
+                    width[account] = 1
+                balances[account] = balance
+            else:
                 active.discard(account)
-        if pending:
-            balances.update(fold_block(pending))
+        after = fold_blocks(pending) if pending else {}
+        for account, blocks, balance in pending:
+            for block in blocks:
+                entries.append((account, block, balance))
+                balance = after[account, block]
+            position[account] += len(blocks)
+            balances[account] = balance
     return entries
 
 
@@ -168,36 +186,47 @@ def _replay_hot(spark, ops: DataFrame, openings: DataFrame, kept: Sequence[str],
         T.StructField("__key", key_type), T.StructField("__key_block", T.IntegerType()),
         T.StructField("__entry", T.LongType()),
     ])
-
-    def fold_entries(entries: list, columns: Sequence[str], only_blocks: bool) -> DataFrame:
-        frame = spark.createDataFrame([e for e in entries if e[2] is not None], entry_schema)
-        rows = stored.withColumnRenamed("__block", "__key_block")
-        if only_blocks:
-            rows = rows.filter(F.col("__key_block").isin(sorted({e[1] for e in entries})))
-            rows = rows.join(F.broadcast(frame.select("__key", "__key_block")), ["__key", "__key_block"], "left_semi")
-        both = _with_openings(rows, _as_openings(frame, F.col("__entry")))
-        return _folded(both, ["__key", "__key_block"], columns)
-
-    def fold_block(pending: list) -> dict:
-        last = (fold_entries(pending, ["__key", "__seq"], True).groupBy("__key")
+    rows = stored.withColumnRenamed("__block", "__key_block")
+
+    def opened(entries: list) -> DataFrame:
+        return _as_openings(spark.createDataFrame(entries, entry_schema), F.col("__entry"))
+
+    def fold_blocks(pending: list) -> dict:
+        """Fold a run of blocks per account, one task for each account."""
+        wanted = spark.createDataFrame([(a, b, None) for a, blocks, _ in pending for b in blocks], entry_schema)
+        some = rows.filter(F.col("__key_block").isin(sorted({b for _, blocks, _ in pending for b in blocks})))
+        # As many rows as blocks at most.
+        some = some.join(F.broadcast(wanted.drop("__entry")), ["__key", "__key_block"], "left_semi")
+        starts = opened([(a, blocks[0], balance) for a, blocks, balance in pending])
+        both = _with_openings(some, starts)
+        last = (_folded(both, ["__key"], ["__key", "__key_block", "__seq"]).groupBy("__key", "__key_block")
                 .agg(F.max_by("__balance", "__seq").alias("balance")).collect())
-        return {row[0]: row[1] for row in last}
+        return {(row[0], row[1]): row[2] for row in last}
 
-    return fold_entries(_walk([tuple(r) for r in segments], start, fold_block), kept, False)
+    entries = _walk([tuple(r) for r in segments], start, fold_blocks)
+    both = _with_openings(rows, opened([e for e in entries if e[2] is not None]))
+    return _folded(both, ["__key", "__key_block"], kept)
 
 
 def replay(ops: DataFrame, opening: DataFrame, account: str = "account", seq: str = "seq", kind: str = "kind",
            amount: str = "amount", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Outcome of each deposit or withdrawal, in ``seq`` order per account.
 
-    ``opening`` is (account, balance). A withdrawal below zero is rejected with
+    ``opening`` is (account, balance); several rows of an account add up. A withdrawal below zero is rejected with
     TRANSACTION_EXCEPTION / 402 and leaves the balance; an unknown account gives
-    ACCOUNT_NOT_EXISTS / 404. Adds ``accepted``, ``balance``, ``error_code`` and ``http_code``.
+    ACCOUNT_NOT_EXISTS / 404. Operations of any other kind, or without a number, are rejected with
+    TRANSACTION_EXCEPTION as well and have no balance. Adds ``accepted``, ``balance``, ``error_code`` and ``http_code``.
     """
     spark = ops.sparkSession
+    valid = F.coalesce(F.col(kind).isin("deposit", "withdraw"), F.lit(False)) & F.col(seq).isNotNull()
+    invalid = ops.filter(~valid).select(
+        *ops.columns, F.lit(False).alias("accepted"), F.lit(None).cast("decimal(18,2)").alias("balance"),
+        F.lit("TRANSACTION_EXCEPTION").alias("error_code"), F.lit(402).alias("http_code"))
+    ops = ops.filter(valid)
+    opening = opening.groupBy(account).agg(F.sum("balance").alias("balance"))
     cents = (F.col(amount).cast("decimal(18,2)") * 100).cast("bigint")
     payload = [c for c in ops.columns if c not in (account, seq)]
-    code = F.when(F.col(kind).eqNullSafe("withdraw"), WITHDRAW).otherwise(DEPOSIT).cast("tinyint")
+    code = F.when(F.col(kind) == "withdraw", WITHDRAW).otherwise(DEPOSIT).cast("tinyint")
     typed = ops.select(F.col(account).alias("__key"), F.col(seq).cast("bigint").alias("__seq"),
                        code.alias("__code"), cents.alias("__cents"), *payload)
     openings = _as_openings(
@@ -224,10 +253,11 @@ def replay(ops: DataFrame, opening: DataFrame, account: str = "account", seq: st
 
     known = F.col("__balance").isNotNull()
     own = {account: F.col("__key"), seq: F.col("__seq").cast(ops.schema[seq].dataType)}
-    return done.select(
+    outcome = done.select(
         *[own.get(c, F.col(f"`{c}`")).alias(c) for c in ops.columns],
         F.col("__accepted").alias("accepted"),
         (F.col("__balance").cast("decimal(18,0)") / 100).cast("decimal(18,2)").alias("balance"),
         F.when(~known, "ACCOUNT_NOT_EXISTS").when(~F.col("__accepted"), "TRANSACTION_EXCEPTION").alias("error_code"),
         F.when(~known, 404).when(~F.col("__accepted"), 402).otherwise(200).alias("http_code"),
     )
+    return outcome.unionByName(invalid)

@@ -9,8 +9,13 @@ from millrace.functions.predicates import all_equal, contains, not_false, since_
 from millrace.operators import grouping, joins
 from millrace.operators.windows import dense_ids, last_write
 from millrace.plans import exports, feeds, star
+from millrace.sources import generate
 
-from .registry import Tables, cents, query
+from .registry import WORDS_SQL, Tables, cents, query
+
+
+# Action ids do not fit 32 bits.
+BIG = 3_000_000_000
 
 
 def star_frames(t: Tables) -> dict[str, DataFrame]:
@@ -18,16 +23,16 @@ def star_frames(t: Tables) -> dict[str, DataFrame]:
     entered = F.when(F.col("l_returnflag") == "A", True).when(F.col("l_returnflag") == "R", False)
     return {
         "action": t.orders.select(
-            F.col("o_orderkey").cast("int").alias("id"), F.col("o_orderpriority").alias("action_type"),
+            (F.col("o_orderkey") + BIG).alias("id"), F.col("o_orderpriority").alias("action_type"),
             F.lit("order").alias("name"), F.col("o_orderstatus").alias("description")),
         "action_activities": t.lineitem.select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-            F.col("l_orderkey").cast("int").alias("action_id"),
+            (F.col("l_orderkey") + BIG).alias("action_id"),
             F.concat_ws("-", "l_linenumber", F.col("l_quantity").cast("int")).alias("activity_type"),
             entered.alias("manually_entered")),
         "tracker": t.orders.select(
             F.col("o_orderkey").alias("id"), F.lit("tracker").alias("description"), F.lit("t").alias("title"),
-            F.col("o_custkey").alias("thrive_category_id"), F.col("o_orderkey").cast("int").alias("action"),
+            F.col("o_custkey").alias("thrive_category_id"), (F.col("o_orderkey") + BIG).alias("action"),
             (F.col("o_orderstatus") == "O").alias("hide_on_healthy_habits"),
             F.when(F.col("o_orderpriority") == "1-URGENT", "Published").otherwise("Unpublished").alias("status"),
             F.when(F.col("o_totalprice") > 400000, F.col("o_custkey")).alias("sponsor_id")),
@@ -112,7 +117,7 @@ def member_interactions(t):
 
 @query(INTERACTIONS_SQL)
 def member_interactions_salted(t):
-    return interactions(t, 2)
+    return interactions(t, max(1, t.orders.count() // 500))
 
 
 @query("""
@@ -201,10 +206,21 @@ def row_count(t):
     return grouping.row_count(t.lineitem)
 
 
-@query("""SELECT word, CAST(count(*) AS BIGINT) AS "count" FROM
-          (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY word""")
+@query(f"""WITH {WORDS_SQL} SELECT word, CAST(count(*) AS BIGINT) AS "count" FROM words GROUP BY word""")
 def word_count(t):
-    return grouping.word_count(t.documents, "text")
+    return grouping.word_count(grouping.lines(t.documents, "text"))
+
+
+@query("""SELECT n_name, label FROM nation JOIN (VALUES (0, 'south'), (1, 'west'), (3, NULL)) AS r(key, label)
+          ON n_regionkey = key""")
+def literal_join(t):
+    labels = generate.frame(t.spark, [(0, "south"), (1, "west"), (3, None)], "key INT, label STRING")
+    return t.nation.join(labels, F.col("n_regionkey") == F.col("key")).select("n_name", "label")
+
+
+@query("SELECT c_custkey, repeat('x', CAST(c_custkey % 9 AS INT)) AS filler FROM customer")
+def filler_items(t):
+    return t.customer.select("c_custkey", generate.filler((F.col("c_custkey") % 9).cast("int")).alias("filler"))
 
 
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 15")

@@ -88,16 +88,19 @@ def close_accounts(t):
 
 
 @query("""
-    SELECT o_orderkey, o_custkey, CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE -1 END
+    SELECT o_orderkey, account, CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE -1 END
              * CAST(o_totalprice AS DECIMAL(18,2)))
-             OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running
-    FROM orders""")
+             OVER (PARTITION BY account ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running
+    FROM (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END AS account FROM orders)""")
 def running_balance(t):
+    """A third of the orders on one account, numbered by the microseconds of their dates: far from dense."""
     amount = F.col("o_totalprice").cast("decimal(18,2)")
-    moves = t.orders.select("o_orderkey", "o_custkey",
-                            F.when(F.col("o_orderstatus") == "O", amount).otherwise(-amount).alias("posting"))
-    return (running_total(moves, "o_custkey", "o_orderkey", "posting")
-            .select("o_orderkey", "o_custkey", double("running")))
+    number = F.unix_micros(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey")
+    moves = t.orders.select("o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, 7).otherwise(F.col("o_custkey")).alias("account"),
+                            number.alias("number"), F.when(F.col("o_orderstatus") == "O", amount).otherwise(-amount).alias("posting"))
+    many = max(1, t.orders.count() // 50)
+    return (running_total(moves, "account", "number", "posting", hot_rows=many, block_rows=many)
+            .select("o_orderkey", "account", double("running")))
 
 
 def transfers(t: Tables) -> DataFrame:
@@ -113,34 +116,37 @@ TRANSFERS_SQL = """
     tr AS (SELECT o_orderkey AS trans_id, o_custkey AS from_acct, c_nationkey AS to_acct,
                   CAST(o_totalprice AS DECIMAL(18,2)) AS amount
            FROM orders JOIN customer ON o_custkey = c_custkey
-           WHERE {where} o_custkey <> c_nationkey),
+           WHERE {where}),
     po AS (SELECT trans_id, from_acct AS account, -amount AS posting FROM tr
            UNION ALL SELECT trans_id, to_acct, amount FROM tr)"""
 POSTED_SQL = """
     SELECT trans_id, account, CAST(posting AS DOUBLE) AS posting, CAST(balance AS DOUBLE) AS balance,
            balance < 0 AS overdrawn FROM (
       SELECT *, CAST(c_acctbal AS DECIMAL(18,2)) + sum(posting) OVER (
-               PARTITION BY account ORDER BY trans_id ROWS UNBOUNDED PRECEDING) AS balance
+               PARTITION BY account ORDER BY trans_id, posting ROWS UNBOUNDED PRECEDING) AS balance
       FROM po JOIN customer ON account = c_custkey)"""
 
 
-@query("WITH " + TRANSFERS_SQL.format(where="") + POSTED_SQL)
+@query("WITH " + TRANSFERS_SQL.format(where="true") + POSTED_SQL)
 def post_transfers(t):
-    different = transfers(t).filter(F.col("from_acct") != F.col("to_acct"))
-    posted = ledger.post_transfers(different, accounts(t), hot_rows=500, block_rows=4096)
+    """Receivers are few and get many transfers each; those with a fiftieth of all are cut into blocks."""
+    many = max(1, t.orders.count() // 50)
+    posted = ledger.post_transfers(transfers(t), accounts(t), hot_rows=many, block_rows=many)
     return posted.select("trans_id", "account", double("posting"), double("balance"), "overdrawn")
 
 
-DUE = "o_orderstatus <> 'P' AND o_orderdate <= DATE '1998-01-01' AND"
+DUE = "o_orderstatus <> 'P' AND o_orderdate <= DATE '1998-01-01'"
+# Scheduled transfers are validated, and those to the own account rejected.
+DUE_VALID = DUE + " AND o_custkey <> c_nationkey"
 
 
-@query("WITH " + TRANSFERS_SQL.format(where=DUE) + POSTED_SQL)
+@query("WITH " + TRANSFERS_SQL.format(where=DUE_VALID) + POSTED_SQL)
 def due_transfers(t):
     posted = run_due(transfers(t), accounts(t), as_of="1998-01-01")["postings"]
     return posted.select("trans_id", "account", double("posting"), double("balance"), "overdrawn")
 
 
-@query("WITH " + TRANSFERS_SQL.format(where=DUE) + """
+@query("WITH " + TRANSFERS_SQL.format(where=DUE_VALID) + """
     SELECT c_custkey AS account, CAST(CAST(c_acctbal AS DECIMAL(18,2)) + coalesce(s, 0) AS DOUBLE) AS balance
     FROM customer LEFT JOIN (SELECT account, sum(posting) AS s FROM po GROUP BY account) ON c_custkey = account""")
 def account_balances(t):
@@ -149,22 +155,24 @@ def account_balances(t):
 
 REPLAY_SQL = """
     WITH RECURSIVE ops AS (
-      SELECT {account} AS account, o_orderkey, o_orderstatus = 'O' AS deposit, CAST(round(o_totalprice * 100) AS BIGINT) AS cents,
+      SELECT {account} AS account, o_orderkey, o_orderstatus = 'O' AS deposit, o_orderpriority = '5-LOW' AND o_orderkey % 5 = 0 AS odd, CAST(round(o_totalprice * 100) AS BIGINT) AS cents,
              row_number() OVER (PARTITION BY {account} ORDER BY o_orderkey) AS rn
       FROM orders JOIN customer ON o_custkey = c_custkey),
     r AS (
       SELECT account, 0 AS rn, CAST(NULL AS BIGINT) AS o_orderkey, true AS accepted, {opening} AS balance FROM ({accounts})
       UNION ALL
-      SELECT r.account, r.rn + 1, ops.o_orderkey, ops.deposit OR r.balance >= ops.cents,
-             CASE WHEN ops.deposit THEN r.balance + ops.cents WHEN r.balance >= ops.cents THEN r.balance - ops.cents
+      SELECT r.account, r.rn + 1, ops.o_orderkey, CASE WHEN odd THEN NULL ELSE ops.deposit OR r.balance >= ops.cents END,
+             CASE WHEN odd THEN r.balance WHEN ops.deposit THEN r.balance + ops.cents WHEN r.balance >= ops.cents THEN r.balance - ops.cents
                   ELSE r.balance END
       FROM r JOIN ops ON ops.account = r.account AND ops.rn = r.rn + 1)
-    SELECT o_orderkey, account, accepted, CAST(balance AS DOUBLE) / 100 AS balance,
+    SELECT o_orderkey, account, coalesce(accepted, false) AS accepted,
+           CASE WHEN accepted IS NOT NULL THEN CAST(balance AS DOUBLE) / 100 END AS balance,
            CASE WHEN accepted THEN 200 ELSE 402 END AS http_code FROM r WHERE rn > 0"""
 
 
 def operations(t: Tables, account: str) -> DataFrame:
-    kind = F.when(F.col("o_orderstatus") == "O", "deposit").otherwise("withdraw")
+    kind = (F.when((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderkey") % 5 == 0), "refund")
+            .when(F.col("o_orderstatus") == "O", "deposit").otherwise("withdraw"))
     return t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", F.col(account).alias("account"), kind.alias("kind"), F.col("o_totalprice").alias("amount"))
 
@@ -184,5 +192,5 @@ def replay_hot_accounts(t):
     """Few accounts with many operations each: most are cut into blocks."""
     opening = t.nation.select(F.col("n_nationkey").alias("account"), F.lit(5_000_000).alias("balance"))
     ops = operations(t, "c_nationkey")
-    done = replay(ops, opening, seq="o_orderkey", hot_rows=600)
+    done = replay(ops, opening, seq="o_orderkey", hot_rows=max(1, t.orders.count() // 50))
     return done.select("o_orderkey", "account", "accepted", double("balance"), "http_code")

@@ -146,8 +146,29 @@ def test_walk_folds_only_blocks_entered_too_low():
 
     def fold(pending):
         asked.extend(pending)
-        return {"a": 33}
+        return {("a", 1): 33}
 
     entries = _walk(segments, {"a": 20}, fold)
-    assert asked == [("a", 1, 70)]
+    assert asked == [("a", [1], 70)]
     assert sorted(entries, key=str) == [("a", 0, 20), ("a", 1, 70), ("a", 2, 33), ("b", 2, None)]
+
+
+def test_walk_takes_few_rounds_where_every_block_rejects():
+    rounds = []
+
+    def fold(pending):
+        rounds.append(pending)
+        return {(account, block): 0 for account, blocks, _ in pending for block in blocks}
+
+    entries = _walk([("a", b, -5, 9) for b in range(500)], {"a": 1}, fold)
+    assert [e[1] for e in entries] == list(range(500)) and len(rounds) <= 9
+
+
+def test_replay_rejects_what_it_does_not_know(spark):
+    ops = spark.createDataFrame([(1, 1, "deposit", 10), (1, 2, "Withdraw", 5), (1, 3, None, 5), (1, None, "withdraw", 5),
+                                 (1, 4, "withdraw", 25)], "account BIGINT, seq BIGINT, kind STRING, amount INT")
+    opening = spark.createDataFrame([(1, 8), (1, 7)], "account BIGINT, balance INT")
+    done = {(r["seq"], r["kind"]): (r["accepted"], r["balance"] and int(r["balance"]), r["http_code"])
+            for r in replay(ops, opening).collect()}
+    assert done == {(1, "deposit"): (True, 25, 200), (2, "Withdraw"): (False, None, 402), (3, None): (False, None, 402),
+                    (None, "withdraw"): (False, None, 402), (4, "withdraw"): (True, 0, 200)}

@@ -4,7 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
+from millrace.operators import ledger
 from millrace.plans import feeds
+from parity import ORACLE, QUERIES
 
 from .test_feeds import star_tables
 
@@ -17,14 +19,14 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_agrees_with_sql(spark, db, name):
     assert difference(spark, db, FOLDER, name) is None
 
@@ -65,8 +67,8 @@ def test_rows_are_combined_before_the_shuffle(spark, name, early):
     assert early in physical[physical.index("Exchange"):]
 
 
-@pytest.fixture
-def small_skew(spark):
+@pytest.fixture(name="small_skew")
+def small_skew_settings(spark):
     """Settings under which the test tables are large enough to be split as skewed."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -98,3 +100,19 @@ def test_hot_join_keys_are_split(spark, tmp_path, small_skew):
                                     "2020-07-01")
     assert len(out.collect()) == 20000
     assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("hot", ["from_account", "to_account"])
+def test_hot_accounts_are_split(spark, tmp_path, small_skew, hot):
+    """Two thirds of the transfers name one account; those without a readable number are not looked up at all."""
+    other = "to_account" if hot == "from_account" else "from_account"
+    spark.range(30000).selectExpr(
+        f"IF(id % 9 = 0, 'x', IF(id % 3 > 0, '7', string(id % 900))) AS {hot}", f"string(1000 + id % 700) AS {other}",
+        "1 AS amount", "uuid() AS note").repartition(8).write.parquet(str(tmp_path / "requests"))
+    accounts = spark.range(2000).selectExpr("id", "1 AS balance")
+    out = ledger.validate_transfers(spark.read.parquet(str(tmp_path / "requests")), accounts)
+    counts = dict(out.groupBy("error_code").count().collect())
+    assert counts["INVALID_ACCOUNT_FORMAT"] == 3334 and sum(counts.values()) == 30000
+    out.write.format("noop").mode("overwrite").save()
+    rows = out.collect()
+    assert len(rows) == 30000 and "skew=true" in out._jdf.queryExecution().executedPlan().toString()

@@ -21,6 +21,18 @@ def test_running_total_with_a_hot_key(spark, hot_rows, block_rows):
     assert sorted(map(tuple, got.collect())) == sorted(expected)
 
 
+def test_running_total_with_sparse_numbers(spark):
+    rng = random.Random(6)
+    numbers = sorted(rng.sample(range(1, 10**15), 600))
+    df = spark.createDataFrame([("hot" if i % 3 else None, n, i) for i, n in enumerate(numbers)], "k STRING, seq BIGINT, v INT")
+    got = windows.running_total(df, "k", "seq", "v", hot_rows=100, block_rows=50)
+    totals, want = {}, []
+    for r in df.collect():
+        totals[r["k"]] = totals.get(r["k"], 0) + r["v"]
+        want.append((r["k"], r["seq"], r["v"], totals[r["k"]]))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_running_total_keeps_rows_without_a_key(spark, rows):
     df = spark.createDataFrame([(None, 1, 5), (None, 9, 6), ("a", 2, 1)], "k STRING, seq INT, v INT")
     assert rows(windows.running_total(df, "k", "seq", "v", block_rows=4)) == [
@@ -39,6 +51,13 @@ def test_last_write(spark, rows):
     assert rows(windows.last_write(df, ["pk", "sk"], ["at"])) == [(1, 1, "b", 3), (1, 2, None, 1)]
 
 
+def test_missing_breach_is_none(spark):
+    df = spark.createDataFrame([("k", 0, True, 1), ("k", 1, None, 1), ("k", 2, True, 1), ("l", 0, None, 1), ("l", 1, True, 2)],
+                               "k STRING, t INT, b BOOLEAN, n INT")
+    flagged = windows.breached_in_row(df, ["k"], "t", "b", F.col("n")).orderBy("k", "t")
+    assert [r["in_alarm"] for r in flagged.collect()] == [True, False, True, False, False]
+
+
 def test_breaches_and_changes(spark):
     bits = [1, 1, 1, 0, 1, 1, 1, 1]
     df = spark.createDataFrame([("k", i, bool(b)) for i, b in enumerate(bits)], "k STRING, t INT, b BOOLEAN")
