@@ -72,9 +72,11 @@ def rule_of(alarm: Column, rules: list[Rule]) -> Column:
 
 
 def breach(value: Column, op: Column, threshold: Column) -> Column:
-    return (F.when(op == ">=", value >= threshold).when(op == "<=", value <= threshold)
+    """Whether a value is on the wrong side; a NULL value is not."""
+    over = (F.when(op == ">=", value >= threshold).when(op == "<=", value <= threshold)
             .when(op == ">", value > threshold).when(op == "<", value < threshold)
             .when(op == "==", value == threshold))
+    return F.coalesce(over, F.lit(False))
 
 
 def watched_points(points: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -87,6 +89,7 @@ def watched_points(points: DataFrame, rules: list[Rule]) -> DataFrame:
     fitting = F.try_element_at(rules_by_metric(rules), F.col("metric_name"))
     return watched.select("ts", "value", F.array_sort(F.map_entries("dimensions")).alias("__dims"), F.inline(fitting))
 
+
 def partial_statistics() -> list[Column]:
     """All statistics a rule may ask for; the rule's own is picked after the aggregate."""
     return [F.max("value").alias("__max"), F.min("value").alias("__min"), F.sum("value").alias("__sum"),
@@ -122,8 +125,7 @@ def evaluate(points: DataFrame, rules: list[Rule], changes_only: bool = False) -
     values = period_values(points, rules)
     checked = values.withColumn("breach", breach(F.col("value"), F.col("op"), F.col("threshold")))
     keys = ["alarm", "__dims"]
-    runs = breached_in_row(checked, keys, "period_start", "breach", F.col("periods"),
-                           longest=max(r.periods for r in rules))
+    runs = breached_in_row(checked, keys, "period_start", "breach", F.col("periods"))
     states = runs.withColumn("state", F.when(F.col("in_alarm"), "ALARM").otherwise("OK"))
     added = []
     if changes_only:

@@ -39,8 +39,8 @@ def event_rate(df: DataFrame, span_seconds: float, by: Sequence[str] = (), per_s
 
 
 def percentage(df: DataFrame, predicate: Column, by: Sequence[str] = (), red_above: float | None = None) -> DataFrame:
-    """Share of rows that meet a predicate, in percent, with an optional red flag."""
-    share = F.lit(100.0) * F.count_if(predicate) / F.count("*")
+    """Share of rows that meet a predicate, in percent, with an optional red flag; NULL where there are no rows."""
+    share = F.try_divide(F.lit(100.0) * F.count_if(predicate), F.count("*"))
     out = df.groupBy(*by).agg(share.alias("pct"))
     return out if red_above is None else out.withColumn("red", F.col("pct") > F.lit(red_above))
 
@@ -67,12 +67,12 @@ def timeseries(df: DataFrame, ts: str, value: Column | str, by: Sequence[str], w
 
 
 def apdex(df: DataFrame, duration: str, threshold: float, by: Sequence[str | Column] = ()) -> DataFrame:
-    """Satisfied up to T, tolerating up to 4T: score = (satisfied + tolerating / 2) / all."""
+    """Satisfied up to T, tolerating up to 4T: score = (satisfied + tolerating / 2) / all, NULL without durations."""
     satisfied = F.count_if(F.col(duration) <= threshold)
     tolerating = F.count_if((F.col(duration) > threshold) & (F.col(duration) <= 4 * threshold))
     return (df.groupBy(*by)
             .agg(satisfied.alias("satisfied"), tolerating.alias("tolerating"), F.count(duration).alias("samples"))
-            .withColumn("apdex", (F.col("satisfied") + F.col("tolerating") / F.lit(2.0)) / F.col("samples")))
+            .withColumn("apdex", F.try_divide(F.col("satisfied") + F.col("tolerating") / F.lit(2.0), F.col("samples"))))
 
 
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:

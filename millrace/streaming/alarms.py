@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,37 +34,36 @@ def with_rule(windows: DataFrame, op: str, threshold: float, periods: int) -> Da
     return windows.withColumns({"op": F.lit(op), "threshold": F.lit(float(threshold)), "periods": F.lit(periods)})
 
 
-def alarm_states(windows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def alarm_states(windows: DataFrame, keys: Sequence[str], idle: str = "30 days") -> DataFrame:
     """ALARM / OK for each closed window, and whether that is a change.
 
     ``windows`` streams (keys, period_start, value, op, threshold, periods) as an append sink wrote
-    them. The state of a key is its last breach bits, as many as its rule has periods, and its last
-    alarm state; windows that never come leave it as it is.
+    them. The state of a key is the number of breaches in a row at its end and its last alarm state; windows that never
+    come leave it as it is. A key is forgotten when others are ``idle`` ahead of it; windows that far behind are dropped.
     """
     keys = list(keys)
-    over = F.coalesce(breach(F.col("value"), F.col("op"), F.col("threshold")), F.lit(False))
+    over = breach(F.col("value"), F.col("op"), F.col("threshold"))
     flagged = windows.select(*keys, "period_start", F.col("value").cast("double").alias("value"),
                              over.alias("breach"), "periods")
     key_ddl = [f"`{k}` {windows.schema[k].dataType.simpleString()}" for k in keys]
     out_schema = ", ".join([*key_ddl, "period_start TIMESTAMP", "value DOUBLE", "state STRING", "changed BOOLEAN"])
-
     def step(key, frames, state):
-        import pandas as pd
-
-        bits, last = state.get if state.exists else ("", None)
-        rows = pd.concat(list(frames)).sort_values("period_start")
-        states, changes = [], []
-        for breached, periods in zip(rows["breach"], rows["periods"]):
-            bits = (bits + ("1" if breached else "0"))[-periods:]
-            now = "ALARM" if bits == "1" * periods else "OK"
-            states.append(now)
-            changes.append(now != last)
-            last = now
-        state.update((bits, last))
+        if state.hasTimedOut:
+            state.remove()
+            return
+        run, last = state.get if state.exists else (0, None)
+        # The windows of one key that closed since the last batch: as many as periods have passed.
+        rows = pd.concat(list(frames)).sort_values("period_start", ignore_index=True)
+        number = np.arange(1, len(rows) + 1)
+        clear = np.maximum.accumulate(np.where(rows["breach"], -run, number))
+        runs = number - clear
+        states = np.where(runs >= rows["periods"], "ALARM", "OK")
+        state.update((int(runs[-1]), str(states[-1])))
+        state.setTimeoutTimestamp(int(rows["period_start"].iloc[-1].timestamp() * 1000) + 1)
         out = rows[[*keys, "period_start", "value"]].copy()
-        out["state"], out["changed"] = states, changes
+        out["state"], out["changed"] = states, states != np.append([last], states[:-1])
         yield out
 
-    return flagged.groupBy(*keys).applyInPandasWithState(
-        step, out_schema, "bits STRING, last STRING", "append", "NoTimeout"
+    return flagged.withWatermark("period_start", idle).groupBy(*keys).applyInPandasWithState(
+        step, out_schema, "run LONG, last STRING", "append", "EventTimeTimeout"
     )

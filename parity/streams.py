@@ -6,13 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.session import scratch_path
+from millrace.sources.catalog import is_folder
 from millrace.streaming import alarms, ingest, logs, metrics
 
-from .metrics import HOURLY_RULES, LOGS_SQL, STATES_SQL, log_lines
+from .metrics import HOURLY_RULES, LOGS_SQL, STATES_SQL, log_lines, measured
 from .registry import Tables, as_ntz, query
 
 
 def event_stream(t: Tables) -> DataFrame:
+    """The events as a stream, whether the table is one file or a folder of parts."""
+    path = f"{t.folder}/events.parquet"
+    if is_folder(t.spark, path):
+        return ingest.new_files(t.spark, path, t.events.schema)
     return ingest.new_files(t.spark, t.folder, t.events.schema, pattern="events.parquet")
 
 
@@ -55,7 +60,7 @@ def stream_alarm(t):
     WHERE period_start + CASE alarm WHEN 'high_value' THEN INTERVAL 1 HOUR ELSE INTERVAL 15 MINUTE END <= mark""")
 def stream_alarm_rules(t):
     folder = scratch_path(t.spark, "rules")
-    stream = event_stream(t).select("ts", F.lit("value").alias("metric_name"), "value",
+    stream = event_stream(t).select("ts", F.lit("value").alias("metric_name"), measured().alias("value"),
                                     F.create_map(F.lit("type"), F.col("event_type")).alias("dimensions"))
     closed = alarms.rule_windows(stream, HOURLY_RULES)
     ingest.run_available(closed, f"{folder}/windows", f"{folder}/windows-progress")
