@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from . import _text as T
-from ._tables import stored
+from ..session import stored
 
 # Bytes of text meant for one bucket.
 BUCKET_BYTES = 4 << 20
@@ -347,7 +347,11 @@ def compare(unit: Unit, matrices: Callable, order_of: Callable = multikey_order)
             stops.append(start[rows[hit]] - least[hit] + unit.width)
         rows = np.flatnonzero((kind == WINDOW) | ((kind == MANY) & ~table["suffix"].is_valid().to_numpy()))
         if len(rows):
-            rows = rows[np.lexsort((start[rows], tie[rows], doc[rows], keys[rows]))]
+            rows = rows[np.lexsort((-kind[rows], start[rows], tie[rows], doc[rows], keys[rows]))]
+            # A window around two selected places comes twice.
+            fresh = np.ones(len(rows), bool)
+            fresh[1:] = np.any([x[rows][1:] != x[rows][:-1] for x in (keys, doc, tie, start)], axis=0)
+            rows = rows[fresh]
             again = np.append(False, keys[rows][1:] == keys[rows][:-1])
             if not unit.earlier:
                 again = (again | np.append(again[1:], False)) & (kind[rows] != MANY)
