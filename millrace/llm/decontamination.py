@@ -220,7 +220,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, keep: tuple[str, ...] = ("d
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents without a hit, all columns kept."""
-    return decontaminate(docs, items, tuple(docs.columns), **options).where("NOT contaminated").select(*docs.columns)
+    packed = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return decontaminate(packed, items, ("row",), **options).where("NOT contaminated").select("row.*")
 
 
 @query(sql=r"""
