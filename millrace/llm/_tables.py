@@ -1,18 +1,11 @@
-"""Steps between jobs: written tables, connected components."""
+"""Connected components of links that are too many for one machine."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a step to the shared folder and read it back: lineage ends here and lost executors cost nothing."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from ..session import stored
 
 
 def _state(edges: DataFrame):

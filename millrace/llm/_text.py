@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text handled at a time. A longer text is a piece of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 U64 = np.uint64
 TOP = U64(0xFFFFFFFFFFFFFFFF)
 _BASE = 0x9E3779B97F4A7C15 | 1
