@@ -7,7 +7,9 @@ groups that share a shingle become candidate pairs, candidates are expanded to t
 
 Only classes of linked documents are wanted, so pairs of one class need no test: each list is first tested as a star
 around its best-connected member, and only pairs across the classes found so far are then listed in full. An upper
-bound of the overlap (shingles counted in 128 hash ranges) is applied before any set is moved.
+bound of the overlap (shingles counted in hash ranges, more of them for larger sets) is applied before any set is
+moved. Sets are compared by 32 bits of each shingle's hash, which can only make an intersection look larger; where it
+is just large enough, by all 64.
 """
 
 from __future__ import annotations
@@ -21,12 +23,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from . import _text as T
-from ._tables import components, stored
+from ..session import stored
+from ._tables import components
 from .registry import query, table
 
 SHINGLE = 5
 PERCENT = 75
+# Ranges of hashes in which a set's shingles are counted, doubled until there are at least as many as shingles. A count
+# has two bits; 3 stands for 3 or more.
 RANGES = 128
+FULL = 255
+# Counts compared at a time.
+CELLS = 4 << 20
+# A 32-bit intersection larger than needed by this many is not due to equal halves of different hashes.
+MARGIN = 32
 # Shingles counted together, and how many of the most frequent are put last. Both change the work, not the result.
 COUNTED = 1 << 22
 FREQUENT = 1 << 17
@@ -72,6 +82,26 @@ def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return total[ends[1:]] - total[ends[:-1]]
 
 
+def levels(n: np.ndarray) -> np.ndarray:
+    """How often the ranges of a set of ``n`` are doubled."""
+    n = np.asarray(n, np.int64)
+    out = np.zeros(n.shape, np.int64)
+    limit = RANGES
+    while (n > limit).any():
+        out += n > limit
+        limit *= 2
+    return out
+
+
+def _counted_ranges(owner: np.ndarray, tokens: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    level = levels(sizes)
+    cuts = np.concatenate([[0], np.cumsum(RANGES << level)])
+    at = cuts[owner] + (tokens >> (57 - level[owner]).astype(T.U64)).astype(np.int64)
+    counts = np.minimum(np.bincount(at, minlength=int(cuts[-1])), 3).astype(np.uint8).reshape(-1, 4)
+    raw = (counts << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8).tobytes()
+    return [raw[a:b] for a, b in zip((cuts[:-1] // 4).tolist(), (cuts[1:] // 4).tolist())]
+
+
 def _classes(tokens: np.ndarray, ends: np.ndarray) -> list[bytes]:
     """A 128-bit name of each set."""
     halves = [_sums(T.mix(tokens ^ T.U64(salt)), ends) for salt in (0x5BD1E9955BD1E995, 0xC2B2AE3D27D4EB4F)]
@@ -103,8 +133,8 @@ def frequent_shingles(docs: DataFrame, most: int = FREQUENT) -> np.ndarray:
             yield counted()
 
     counts = docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = counts.where("n >= 16").orderBy(F.desc("n"), "token").limit(most).collect()
-    return np.array([row["token"] for row in reversed(top)], np.int64).view(T.U64)
+    top = counts.where("n >= 16").orderBy(F.desc("n"), "token").limit(most).select("token").toArrow()
+    return top.column("token").to_numpy()[::-1].copy().view(T.U64)
 
 
 def sketches(docs: DataFrame, keep: list[str], frequent: np.ndarray | None = None,
@@ -127,10 +157,7 @@ def sketches(docs: DataFrame, keep: list[str], frequent: np.ndarray | None = Non
                 sizes = np.bincount(owner, minlength=len(piece))
                 ends = np.concatenate([[0], np.cumsum(sizes)])
                 classes = _classes(tokens, ends)
-                bins = np.bincount(owner * RANGES + (tokens >> T.U64(57)).astype(np.int64),
-                                   minlength=len(piece) * RANGES)
-                raw = np.minimum(bins, 255).astype(np.uint8).tobytes()
-                ranges = [raw[i:i + RANGES] for i in range(0, len(raw), RANGES)]
+                ranges = _counted_ranges(owner, tokens, sizes)
                 prefixes, groups = [[]] * len(piece), np.zeros(len(piece), T.U64)
                 if frequent is not None:
                     known, ranks = table_.value
@@ -228,26 +255,53 @@ def _lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     ["list", "token", "size", "grp"])
 
 
-def _may_link(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
-    """Whether the counts per range leave room for enough overlap. Counts of 255 stand for any number."""
-    most = np.minimum(a, b).sum(axis=1, dtype=np.int64)
-    full = (a == 255).any(axis=1) | (b == 255).any(axis=1)
-    sizes = (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-    return sizes & (full | (100 * most >= percent * (n + m - most)))
+_UNPACKED = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8)
+_UNPACKED[_UNPACKED == 3] = FULL
 
 
-def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint8).reshape(-1, RANGES)
+def _matrix(column, level: int, to: int) -> np.ndarray:
+    """Counts of sets of one level, brought to a lower one; FULL stands for an unknown count of 3 or more."""
+    packed = np.frombuffer(b"".join(column), np.uint8)
+    out = _UNPACKED[packed].reshape(-1, RANGES << level)
+    for _ in range(level - to):
+        a, b = out[:, ::2], out[:, 1::2]
+        out = np.where((a == FULL) | (b == FULL), FULL, a + b).astype(np.uint8)
+    return out
+
+
+def _may_link(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the counts per range, as many in ``a`` as in ``b``, leave room for enough overlap.
+
+    Ranges that are full on both sides together hold no more common shingles than either side has left for them: its
+    size without its known counts, and without 3 for each range that is full on its side only.
+    """
+    full_a, full_b = a == FULL, b == FULL
+    both = full_a & full_b
+    least = np.minimum(a, b)
+    least[both] = 0
+    most = least.sum(axis=1, dtype=np.int64)
+    some = both.sum(axis=1)
+    left = [size - np.where(full, 3, x).sum(axis=1, dtype=np.int64) + 3 * some for x, size, full in
+            ((a, n, full_a), (b, m, full_b))]
+    most = most + np.where(some > 0, np.minimum(*left), 0)
+    return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (100 * most >= percent * (n + m - most))
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (u, v) of classes that the bound does not rule out."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                n, m = (batch.column(i).to_numpy() for i in (2, 4))
-                ok = _may_link(_matrix(batch.column(3).to_pylist()), _matrix(batch.column(5).to_pylist()), n, m, percent)
-                yield batch.select([0, 1]).filter(pa.array(ok))
+            n, m = (batch.column(i).to_numpy() for i in (2, 4))
+            a, b = (np.array(batch.column(i).to_pylist(), object) for i in (3, 5))
+            left, right = levels(n), levels(m)
+            ok = np.zeros(len(n), bool)
+            for x, y in set(zip(left.tolist(), right.tolist())):
+                # Sets more than a level apart differ too much in size.
+                if abs(x - y) <= 1:
+                    to, both = min(x, y), np.flatnonzero((left == x) & (right == y))
+                    for at in np.array_split(both, len(both) * (RANGES << max(x, y)) // CELLS + 1):
+                        ok[at] = _may_link(_matrix(a[at], x, to), _matrix(b[at], y, to), n[at], m[at], percent)
+            yield batch.select([0, 1]).filter(pa.array(ok))
 
     side = classes.select("cls", "n", "ranges")
     joined = (pairs.join(side.toDF("u", "n", "a"), "u").join(side.toDF("v", "m", "b"), "v")
@@ -255,12 +309,14 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "u binary, v binary")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, tokens) of the wanted classes, computed anew from the texts: tokens are sorted 64-bit numbers in bytes."""
+def _sets(docs: DataFrame, wanted: DataFrame, kind: type) -> DataFrame:
+    """(cls, tokens) of the wanted classes, computed anew from the texts: tokens are the sorted upper bits of the
+    hashes that ``kind`` has room for, in bytes."""
+    shift = T.U64(64 - 8 * np.dtype(kind).itemsize)
     spark = docs.sparkSession
     names = None
     if wanted.count() <= NAMED_SETS:
-        names = spark.sparkContext.broadcast({bytes(r["cls"]) for r in wanted.collect()})
+        names = spark.sparkContext.broadcast(set(wanted.toArrow().column("cls").to_pylist()))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -275,7 +331,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                             seen.clear()
                         seen.add(name)
                         cls.append(name)
-                        sets.append(tokens[ends[i]:ends[i + 1]].tobytes())
+                        sets.append((tokens[ends[i]:ends[i + 1]] >> shift).astype(kind).tobytes())
                 if cls:
                     yield pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), pa.array(sets, pa.binary())],
                                                      ["cls", "tokens"])
@@ -286,22 +342,38 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.groupBy("cls").agg(F.first("tokens").alias("tokens"))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) of classes whose sets are similar enough. ``pairs`` is a written table."""
+def _overlaps(docs: DataFrame, pairs: DataFrame, kind: type, percent: int) -> DataFrame:
+    """(u, v, spare) of pairs of classes: 100ths by which the overlap is more (or, below zero, less) than is needed,
+    so far as hashes cut to ``kind`` tell."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = []
+            spare = []
             for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                a, b = np.frombuffer(a, T.U64), np.frombuffer(b, T.U64)
-                both = np.sort(np.concatenate([a, b]), kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                ok.append(100 * common >= percent * (len(a) + len(b) - common))
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+                a, b = np.frombuffer(a, kind), np.frombuffer(b, kind)
+                both = np.sort(np.concatenate([np.unique(a), np.unique(b)]), kind="stable")
+                # Equal halves inside one set: its size counts all of them, the intersection at most too many.
+                common = int((both[1:] == both[:-1]).sum()) + len(a) + len(b) - len(both)
+                spare.append(100 * common - percent * (len(a) + len(b) - common))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spare, pa.int64())],
+                                             ["u", "v", "spare"])
 
     wanted = pairs.select(F.col("u").alias("cls")).union(pairs.select("v")).distinct()
-    sets = stored(_sets(docs, wanted), "shingle-sets")
+    sets = stored(_sets(docs, wanted, kind), "shingle-sets")
     joined = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v").select("u", "v", "a", "b")
-    return joined.mapInArrow(run, "u binary, v binary")
+    return joined.mapInArrow(run, "u binary, v binary, spare long")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) of classes whose sets are similar enough. ``pairs`` is a written table."""
+    if pairs.isEmpty():
+        return pairs
+    found = stored(_overlaps(docs, pairs, np.uint32, percent).where("spare >= 0"), "shingle-overlaps")
+    sure = F.col("spare") >= MARGIN * (100 + percent)
+    close = stored(found.where(~sure).select("u", "v"), "shingle-close")
+    out = found.where(sure).select("u", "v")
+    if close.isEmpty():
+        return out
+    return out.union(_overlaps(docs, close, np.uint64, percent).where("spare >= 0").select("u", "v"))
 
 
 def _across(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -317,15 +389,26 @@ def _across(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             names = np.unique(label[order], return_inverse=True)[1]
             if names.max(initial=0) == 0:
                 continue
-            rows = _matrix(ranges[order])
+            level = levels(n)
+            # Rows in order of size are in order of level: the counts of each level, and those brought to the one below.
+            first = {int(x): int(np.searchsorted(level, x)) for x in np.unique(level)}
+            of = {x: _matrix(ranges[order[level == x]], x, x) for x in first}
+            below = {x: _matrix(ranges[order[level == x]], x, x - 1) for x in first if x}
             stop = np.searchsorted(percent * n, 100 * n, "right")
             for i in range(len(order)):
                 js = np.arange(i + 1, stop[i])
                 js = js[names[js] != names[i]]
                 if left[lo] != right[lo]:
                     js = js[own[js] != own[i]]
+                # Later sets are larger: of the same level, or one above.
+                js = js[level[js] - level[i] <= 1]
                 if len(js):
-                    ok = _may_link(rows[i][None, :], rows[js], n[i], n[js], percent)
+                    x = int(level[i])
+                    same, next_ = js[level[js] == x], js[level[js] == x + 1]
+                    rows = of[x][same - first[x]]
+                    if len(next_):
+                        rows = np.concatenate([rows, below[x + 1][next_ - first[x + 1]]])
+                    ok = _may_link(of[x][i - first[x]][None, :], rows, n[i], n[js], percent)
                     for j in js[ok].tolist():
                         pair = tuple(sorted((bytes(cls[order[i]]), bytes(cls[order[j]]))))
                         key = pair[0] + pair[1]
@@ -428,11 +511,13 @@ def drop_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each component: the one that gives it its id. Documents with the empty set all stay."""
     joined = stored(join_documents(docs, percent), "shingle-components")
     kept = joined.where("n_shingles > 0 AND doc_id <=> component_id").select("doc_id", "cls").distinct().toDF("d", "c")
-    named = sketches(docs, docs.columns + ["text"] if "text" not in docs.columns else docs.columns)
+    # Whole rows travel as one column, so that no name of theirs meets one of the sketch.
+    packed = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    named = sketches(packed, ["doc_id", "row"])
     first = F.row_number().over(W.Window.partitionBy("doc_id", "cls").orderBy("n"))
     chosen = (named.where("n > 0").withColumn("copy", first).where("copy = 1")
               .join(kept, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("cls") == F.col("c")), "left_semi"))
-    return chosen.select(*docs.columns).union(named.where("n = 0").select(*docs.columns))
+    return chosen.select("row.*").union(named.where("n = 0").select("row.*"))
 
 
 @query(sql=r"""
