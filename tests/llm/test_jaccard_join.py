@@ -114,3 +114,18 @@ def test_components_of_chains_and_stars(spark):
 
 def test_empty_table(spark):
     assert jaccard_join.join_documents(spark.createDataFrame([], DOCUMENTS)).count() == 0
+
+
+def test_bound_rules_out_most_pairs_below_the_threshold():
+    rng = np.random.default_rng(3)
+    ruled_out = 0
+    for n in (300, 700, 1500, 3000):
+        for _ in range(20):
+            tokens = rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64) * np.uint64(2)
+            a, b = np.sort(tokens[:n]), np.sort(tokens[n // 4:n + n // 4])  # a Jaccard of 0.6
+            sizes = np.array([n, n])
+            raw = jaccard_join._counted_ranges(np.repeat([0, 1], n), np.concatenate([a, b]), sizes)
+            level = int(jaccard_join.levels(sizes)[0])
+            x, y = (jaccard_join._matrix([r], level, level) for r in raw)
+            ruled_out += not jaccard_join._may_link(x, y, sizes[:1], sizes[1:], 75)[0]
+    assert ruled_out >= 78
