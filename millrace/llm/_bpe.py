@@ -2,7 +2,8 @@
 
 The tokenizer splits text by a pattern before it merges, and a merge never crosses a split. Texts are therefore cut at
 places where the pattern always splits (see ``cuts``), the stretches are hashed in numpy, and only stretches not met
-before are handed to the library. The ids of a text are those of its stretches, one after the other.
+before are handed to the library. The ids of a text are those of its stretches, one after the other. Strings of added
+tokens become those tokens, as in the plain call of the library; no stretch begins inside one.
 """
 
 from __future__ import annotations
@@ -21,9 +22,7 @@ def load(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 def default_path() -> str:
@@ -73,6 +72,10 @@ class Encoder:
             raise ValueError("a byte-level tokenizer is needed")
         if self.tokenizer.normalizer is not None:
             raise ValueError("a tokenizer without a normalizer is needed")
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.single_word for t in added):
+            raise ValueError("a tokenizer whose added tokens stand for their strings alone is needed")
+        self.added = [t.content.encode() for t in added]
         self._empty()
 
     def _empty(self) -> None:
@@ -80,9 +83,28 @@ class Encoder:
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def _starts(self, piece: T.Piece) -> np.ndarray:
+        """The places of ``cuts`` but those inside the string of an added token or one byte before it: text ends at such
+        a string, so a space before it stays with other white space on its left."""
+        starts = cuts(piece.bytes, piece.ends)
+        buffer = piece.bytes.tobytes()
+        apart = np.zeros(0, bool)
+        for token in self.added:
+            at = buffer.find(token)
+            while at >= 0:
+                if not len(apart):
+                    apart = np.zeros(len(buffer), bool)
+                apart[max(at - 1, 0):at + len(token)] = True
+                at = buffer.find(token, at + 1)
+        if len(apart):
+            first = piece.ends[:-1]
+            apart[first[first < len(buffer)]] = False  # texts stay apart
+            starts = starts[~apart[starts]]
+        return starts
+
     def encode(self, piece: T.Piece) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids per text)."""
-        starts = cuts(piece.bytes, piece.ends)
+        starts = self._starts(piece)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(piece), np.int64)
         stops = np.append(starts[1:], len(piece.bytes))

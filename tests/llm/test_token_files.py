@@ -39,6 +39,23 @@ def test_stretches_give_the_ids_of_whole_texts(texts):
         assert [ids[e - n:e].tolist() for e, n in zip(ends, sizes)] == want[piece.first:piece.first + len(piece)]
 
 
+MARKED = ["end <|endoftext|> next", "<|endoftext|>", "a  <|endoftext|>  b", "x\n <|endoftext|>\n\ny", "\t <|endoftext|>",
+          "<|endo", "ftext|> after", "x<|endoftext|><|endoftext|>.", "\u3000 <|endoftext|>,", "a, <|endoftext| >"]
+
+
+def test_added_tokens_are_those_of_the_unmodified_library():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(_bpe.default_path())
+    want = [e.ids for e in library.encode_batch(MARKED, add_special_tokens=False)]
+    assert want[0] == [437, 220, 50256, 1306]
+    got = []
+    for piece in _text.pieces(pa.array(MARKED)):
+        ids, sizes = encoder().encode(piece)
+        got += [i.tolist() for i in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert got == want
+
+
 def plain(rows):
     tokenizer = _bpe.load(_bpe.default_path())
     rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
