@@ -220,8 +220,9 @@ def _sampled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
-    """Fit label model and scorer. Near copies (equal least 5-word shingle) count once. Without any labels the
-    heuristic labellers are left; without any document nothing is ever rejected."""
+    """Fit label model and scorer. Near copies (equal least 5-word shingle, or equal shorter texts) count once, by a
+    labelled one if there is any. Without any labels the heuristic labellers are left; without any document nothing is
+    ever rejected."""
     schema = "near long, sheet int, votes array<byte>, features array<int>"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
                                    T.window_hashes(r.hashes, 5), T.TOP) if len(r.hashes) >= 5 else np.zeros(0, T.U64)
                 near = np.array([int(windows[a:b].min(initial=T.TOP)) for a, b in zip(r_ends[:-1], r_ends[1:])], T.U64)
                 alone = near == T.TOP
-                near[alone] = T.mix(T.mix(np.flatnonzero(alone).astype(T.U64)) + T.U64(piece.first))
+                near[alone] = T.mix(T.segment_hashes(piece.bytes, piece.ends[:-1][alone], piece.ends[1:][alone], lower=True))
                 rows = slice(piece.first, piece.first + len(piece))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(near.view(np.int64)), pa.array(sheet[rows].astype(np.int32)),
@@ -245,8 +246,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
                      pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(feature, pa.int32()))],
                     ["near", "sheet", "votes", "features"])
 
-    rows = stored(_sampled(docs, labels, sample).mapInArrow(run, schema).dropDuplicates(["near"])
-                  .withColumn("id", F.monotonically_increasing_id()), "quality-sample")
+    # Of near copies a labelled one stays, the worst kind first; the rest of the order only makes the choice definite.
+    first = F.min(F.struct((F.col("sheet") == NOTHING).alias("open"), (-F.col("sheet")).alias("kind"), "votes", "features"))
+    rows = stored(_sampled(docs, labels, sample).mapInArrow(run, schema).groupBy("near").agg(first.alias("first"))
+                  .select("near", (-F.col("first.kind")).alias("sheet"), "first.votes", "first.features"), "quality-sample")
     # Words that go with a kind are sought by what the sheet says. Low rows without a word of the sheet are those that
     # the heuristics vote low; toxic ones are known from the sheet alone, unless it is empty.
     on_sheet = F.col("sheet") != NOTHING
@@ -275,7 +278,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
     # Certain enough to be a labeller: so many toxic rows and hardly another are no accident in any feature.
     pure = np.array(sorted(r["feature"] for r in found if r["p_toxic"] > 0.97 and r["gain_toxic"] > 35), np.int64)
     wanted = F.array(*[F.lit(int(f)) for f in candidates]) if len(candidates) else F.array().cast("array<int>")
-    kept = rows.select("id", "sheet", "votes", F.array_intersect("features", wanted).alias("features")).orderBy("id")
+    kept = rows.select("near", "sheet", "votes", F.array_intersect("features", wanted).alias("features")).orderBy("near")
     local = kept.collect()
     n = len(local)
     votes = np.array([r["votes"] for r in local], np.int8)

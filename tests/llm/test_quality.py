@@ -60,3 +60,29 @@ def test_equal_texts_fare_alike(spark):
     scorer = quality.Scorer(np.array([int(quality._feature(quality._insults()[:1], 0)[0])]), np.array([9.0]), -3.0)
     scores = {r.doc_id: r.reject_chance for r in quality.score_documents(docs, scorer).collect()}
     assert scores[1] == scores[2] and scores[3] < 0.5
+
+
+def short_texts():
+    """Distinct texts of three words, every third toxic by a word of its own."""
+    rows = [(i, f"line{i} {'grubnik' if i % 3 == 0 else 'meadow'} {'abcdefgh'[i % 8]}x") for i in range(240)]
+    return rows, [(i, 1, int(i % 3 == 0)) for i, _ in rows]
+
+
+def test_short_texts_count_wherever_they_lie(spark):
+    rows, marks = short_texts()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    one, many = (quality.fit(d, labels) for d in (docs.coalesce(1), docs.repartition(60)))
+    assert len(one.features) and np.array_equal(one.features, many.features)
+    assert np.allclose(one.weights, many.weights) and np.isclose(one.offset, many.offset)
+    chance = {r.doc_id: r.reject_chance for r in quality.score_documents(docs, many).collect()}
+    assert min(chance[i] for i in range(0, 240, 3)) > 0.5 > max(chance[i] for i in range(240) if i % 3)
+
+
+def test_the_labelled_one_of_equal_texts_counts(spark):
+    rows, marks = short_texts()
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    copies = spark.createDataFrame([(1000 + i, t) for i, t in rows], docs.schema)
+    alone, beside = quality.fit(docs, labels), quality.fit(copies.union(docs).coalesce(1), labels)
+    assert np.array_equal(alone.features, beside.features) and np.allclose(alone.weights, beside.weights)
