@@ -35,7 +35,8 @@ RANGES = 128
 FULL = 255
 # Counts compared at a time.
 CELLS = 4 << 20
-# A 32-bit intersection larger than needed by this many is not due to equal halves of different hashes.
+# A 32-bit intersection larger than needed by this many, and twice what is expected of sets of that size, is not due to
+# equal halves of different hashes.
 MARGIN = 32
 # Shingles counted together, and how many of the most frequent are put last. Both change the work, not the result.
 COUNTED = 1 << 22
@@ -342,25 +343,32 @@ def _sets(docs: DataFrame, wanted: DataFrame, kind: type) -> DataFrame:
     return found.groupBy("cls").agg(F.first("tokens").alias("tokens"))
 
 
+def _spare(a: np.ndarray, b: np.ndarray, percent: int) -> tuple[int, bool]:
+    """100ths by which the overlap of two sets of hashes is more (or, below zero, less) than is needed, and whether this
+    is so much that equal 32-bit halves of different hashes cannot be the reason."""
+    both = np.sort(np.concatenate([np.unique(a), np.unique(b)]), kind="stable")
+    # Equal halves inside one set: its size counts all of them, the intersection at most too many.
+    size = len(a) + len(b)
+    common = int((both[1:] == both[:-1]).sum()) + size - len(both)
+    spare = 100 * common - percent * (size - common)
+    # Of n hashes about n * n / 2^33 pairs have equal halves.
+    return spare, spare >= (MARGIN + (size * size >> 32)) * (100 + percent)
+
+
 def _overlaps(docs: DataFrame, pairs: DataFrame, kind: type, percent: int) -> DataFrame:
-    """(u, v, spare) of pairs of classes: 100ths by which the overlap is more (or, below zero, less) than is needed,
-    so far as hashes cut to ``kind`` tell."""
+    """(u, v, spare, sure) of pairs of classes, see ``_spare``, so far as hashes cut to ``kind`` tell."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spare = []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                a, b = np.frombuffer(a, kind), np.frombuffer(b, kind)
-                both = np.sort(np.concatenate([np.unique(a), np.unique(b)]), kind="stable")
-                # Equal halves inside one set: its size counts all of them, the intersection at most too many.
-                common = int((both[1:] == both[:-1]).sum()) + len(a) + len(b) - len(both)
-                spare.append(100 * common - percent * (len(a) + len(b) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spare, pa.int64())],
-                                             ["u", "v", "spare"])
+            found = [_spare(np.frombuffer(a, kind), np.frombuffer(b, kind), percent)
+                     for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([x for x, _ in found], pa.int64()),
+                 pa.array([x for _, x in found], pa.bool_())], ["u", "v", "spare", "sure"])
 
     wanted = pairs.select(F.col("u").alias("cls")).union(pairs.select("v")).distinct()
     sets = stored(_sets(docs, wanted, kind), "shingle-sets")
     joined = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v").select("u", "v", "a", "b")
-    return joined.mapInArrow(run, "u binary, v binary, spare long")
+    return joined.mapInArrow(run, "u binary, v binary, spare long, sure boolean")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -368,9 +376,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     if pairs.isEmpty():
         return pairs
     found = stored(_overlaps(docs, pairs, np.uint32, percent).where("spare >= 0"), "shingle-overlaps")
-    sure = F.col("spare") >= MARGIN * (100 + percent)
-    close = stored(found.where(~sure).select("u", "v"), "shingle-close")
-    out = found.where(sure).select("u", "v")
+    close = stored(found.where("NOT sure").select("u", "v"), "shingle-close")
+    out = found.where("sure").select("u", "v")
     if close.isEmpty():
         return out
     return out.union(_overlaps(docs, close, np.uint64, percent).where("spare >= 0").select("u", "v"))

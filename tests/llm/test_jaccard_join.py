@@ -129,3 +129,14 @@ def test_bound_rules_out_most_pairs_below_the_threshold():
             x, y = (jaccard_join._matrix([r], level, level) for r in raw)
             ruled_out += not jaccard_join._may_link(x, y, sizes[:1], sizes[1:], 75)[0]
     assert ruled_out >= 78
+
+
+def test_large_sets_just_below_the_threshold_are_not_sure():
+    hashes = np.unique(np.random.default_rng(7).integers(0, 1 << 64, 1_200_000, dtype=np.uint64))
+    common, n = 857_142, 1_000_000
+    a, b = hashes[:n], np.concatenate([hashes[:common], hashes[n:2 * n - common]])
+    assert jaccard_join._spare(a, b, 75) == (-150, False)
+    halves = [(x & np.uint64(0xFFFFFFFF)).astype(np.uint32) for x in (a, b)]
+    spare, sure = jaccard_join._spare(*halves, 75)
+    assert spare >= jaccard_join.MARGIN * 175 and not sure
+    assert jaccard_join._spare(*[x[:1000] for x in halves], 75)[1]
