@@ -97,6 +97,10 @@ def drop_null_fields(df: DataFrame, by: str = "type") -> DataFrame:
     return df
 
 
+def _named(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _holds(kind: Column, target: str) -> Column:
     """Whether values of a variant's kind are values of a type, without loss."""
     if target in ("tinyint", "smallint", "int", "bigint"):
@@ -108,7 +112,7 @@ def _holds(kind: Column, target: str) -> Column:
 
 def _choice_branches(df: DataFrame, name: str, types: Sequence[str]) -> dict[str, Column]:
     """One column per candidate type; each value shows up in exactly one of them."""
-    value = F.col(f"`{name}`")
+    value = _named(name)
     branches: dict[str, Column] = {}
     if isinstance(df.schema[name].dataType, T.VariantType):
         left = ~F.is_variant_null(value)
@@ -152,13 +156,13 @@ def resolve_choice(
     for name in df.columns:
         action = actions.get(name)
         if action is None:
-            out.append(F.col(f"`{name}`"))
+            out.append(_named(name))
         elif action.startswith("cast:"):
             target = spark_type(action.removeprefix("cast:"))
             if isinstance(df.schema[name].dataType, T.VariantType):
-                out.append(F.try_variant_get(F.col(f"`{name}`"), "$", target).alias(name))
+                out.append(F.try_variant_get(_named(name), "$", target).alias(name))
             else:
-                out.append(F.col(f"`{name}`").try_cast(target).alias(name))
+                out.append(_named(name).try_cast(target).alias(name))
         elif action == "make_cols":
             out += [c.alias(f"{name}_{t}") for t, c in _choice_branches(df, name, types).items()]
         elif action == "make_struct":

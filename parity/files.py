@@ -9,7 +9,7 @@ from millrace.plans.logs import archive
 from millrace.plans.words import count_words
 from millrace.session import scratch_path
 from millrace.sinks import files as sinks
-from millrace.sinks.items import put_items
+from millrace.sinks import items
 from millrace.sources import catalog
 from millrace.sources import files as sources
 
@@ -70,28 +70,21 @@ def compact_files(t):
 
 @query("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
 def item_puts(t):
-    """Every supplier put twice; the later write counts. Items are files named by their key."""
-    folder = scratch_path(t.spark, "items")
-    older = t.supplier.select("s_suppkey", F.lit("old").alias("s_name"), F.lit(0.0).alias("s_acctbal"), F.lit(1).alias("at"))
-    newer = t.supplier.select("s_suppkey", "s_name", "s_acctbal", F.lit(2).alias("at"))
-    put_items(older.unionByName(newer), put_files(folder), ["s_suppkey"], order=["at"])
-    return t.spark.read.schema(newer.drop("at").schema).json(folder)
-
-
-def put_files(folder: str):
-    def put(items: list[dict]) -> None:
-        import json
-
-        from pyarrow import fs
-
-        place = folder.replace("file:/", "file:///", 1) if folder.startswith("file:/") and "://" not in folder else folder
-        system, path = fs.FileSystem.from_uri(place)
-        system.create_dir(path, recursive=True)
-        for item in items:
-            with system.open_output_stream(f"{path}/{item['s_suppkey']}.json") as out:
-                out.write(json.dumps(item).encode())
-
-    return put
+    """Every supplier put in two commits, the second with two writes per key; a put that fails leaves all as it was."""
+    path = scratch_path(t.spark, "items")
+    rows = t.supplier.select("s_suppkey", "s_name", "s_acctbal")
+    items.create_items(path, rows.schema, ["s_suppkey"], buckets=8)
+    items.put(t.supplier.select("s_suppkey", F.lit("old").alias("s_name"), F.lit(0.0).alias("s_acctbal")), path)
+    older = t.supplier.select("s_suppkey", F.lit("older").alias("s_name"), F.lit(0.0).alias("s_acctbal"), F.lit(1).alias("at"))
+    items.put(older.unionByName(rows.withColumn("at", F.lit(2))), path, order=["at"])
+    broken = rows.withColumn("s_name", F.when(F.col("s_suppkey") == 7, F.raise_error(F.lit("no such name"))).otherwise("x"))
+    try:
+        items.put(broken, path)
+    except Exception as error:  # noqa: BLE001
+        assert "no such name" in str(error)
+    else:
+        raise AssertionError("a put that fails must not pass")
+    return items.read_items(t.spark, path)
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders")
