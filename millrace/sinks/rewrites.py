@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..session import stored
-from .swap import file_system, files_below, finish_swaps, swap
+from .swap import file_system, files_below, finish_swaps, staging, swap
 
 # Files up to this size are merged, larger ones stay as they are.
 SMALL_BYTES = 6_000_000
@@ -63,21 +62,17 @@ def compact_small(spark: SparkSession, folder: str, fmt: str = "parquet", small_
     chosen = (rows.where(F.col("_metadata.file_size") <= small_bytes)
               .select(*columns, F.col("_metadata.file_path").alias("__path"))
               .join(plan.join(number, "bin").select(F.col("path").alias("__path"), "__bin"), "__path").drop("__path"))
-    staging = f"{folder.rstrip('/')}/.staging-{uuid.uuid4().hex}"
-    try:
+    with staging(spark, folder) as staged:
         (chosen.repartition(len(numbers), "__bin").sortWithinPartitions("__bin").write.format(fmt).options(**options)
-         .partitionBy("__bin").save(f"{staging}/rows"))
+         .partitionBy("__bin").save(f"{staged}/rows"))
         dirs, put = dict(numbers.values()), {}
-        for path in files_below(spark, f"{staging}/rows"):
+        for path in files_below(spark, f"{staged}/rows"):
             at = int(path.rsplit("/", 2)[1].partition("=")[2])
             name = path.rsplit("/", 1)[1]
             put[path] = f"{dirs[at]}/{name.partition('.')[0]}-{at:05d}.{name.partition('.')[2]}"
         if not put:  # no rows in any of them: they still tell the columns
             return {"kept": total, "merged": 0, "written": 0}
-        swap(spark, folder, put, [r["path"] for r in plan.select("path").collect()])
-    finally:
-        fs, done = file_system(spark, staging)
-        fs.delete(done, True)
+        swap(spark, folder, staged, put, [r["path"] for r in plan.select("path").collect()])
     return {"kept": total - merged, "merged": merged, "written": len(put)}
 
 
@@ -117,16 +112,12 @@ def merge_into(spark: SparkSession, folder: str, stage: DataFrame, keys: Sequenc
     if touched:
         old = spark.read.schema(target.schema).option("basePath", folder).parquet(*touched)
         rows = old.join(wanted, keys, "left_anti").select(*target.columns).unionByName(rows)
-    staging = f"{folder.rstrip('/')}/.staging-{uuid.uuid4().hex}"
-    try:
+    with staging(spark, folder) as staged:
         if partition_by:
             rows = rows.hint("rebalance", *partition_by)
-        rows.write.partitionBy(*partition_by).parquet(f"{staging}/rows")
-        base = file_system(spark, f"{staging}/rows")
-        root = base[0].makeQualified(base[1]).toString()
-        put = {path: f"{folder.rstrip('/')}{path[len(root):]}" for path in files_below(spark, f"{staging}/rows")}
-        swap(spark, folder, put, touched)
-    finally:
-        fs, done = file_system(spark, staging)
-        fs.delete(done, True)
+        rows.write.partitionBy(*partition_by).parquet(f"{staged}/rows")
+        fs, at = file_system(spark, f"{staged}/rows")
+        root = fs.makeQualified(at).toString()
+        put = {path: f"{folder.rstrip('/')}{path[len(root):]}" for path in files_below(spark, f"{staged}/rows")}
+        swap(spark, folder, staged, put, touched)
     return {"kept": len(before) - len(touched), "rewritten": len(touched), "written": len(put)}

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -65,32 +66,50 @@ def _apply(spark: SparkSession, folder: str, put: Mapping[str, str], drop: Itera
         fs.delete(path(gone), False)
 
 
-def swap(spark: SparkSession, folder: str, put: Mapping[str, str], drop: Iterable[str] = ()) -> None:
-    """Move staged files to their names and delete the files they stand in for.
+def _journals(spark: SparkSession, folder: str) -> list[str]:
+    fs, journals = file_system(spark, f"{folder.rstrip('/')}/{JOURNAL}")
+    if not fs.exists(journals):
+        return []
+    names = [status.getPath().toString() for status in fs.listStatus(journals)]
+    return sorted(n for n in names if n.endswith(".json") and not n.rsplit("/", 1)[1].startswith("."))
+
+
+def _end(spark: SparkSession, folder: str, journal: str, what: dict) -> None:
+    _apply(spark, folder, what["put"], what["drop"])
+    for path in (what["staging"], journal):
+        fs, done = file_system(spark, path)
+        fs.delete(done, True)
+
+
+@contextmanager
+def staging(spark: SparkSession, folder: str) -> Iterator[str]:
+    """A hidden folder inside ``folder`` for files that a swap will move. It goes if the work fails before the swap is
+    decided; after that it goes when the swap ends."""
+    path = f"{folder.rstrip('/')}/.staging-{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        if not any(json.loads(read_text(spark, j))["staging"] == path for j in _journals(spark, folder)):
+            fs, done = file_system(spark, path)
+            fs.delete(done, True)
+
+
+def swap(spark: SparkSession, folder: str, staged: str, put: Mapping[str, str], drop: Iterable[str] = ()) -> None:
+    """Move files out of the ``staged`` folder to their names and delete the files they stand in for.
 
     The list of both is written to the folder first. From then on the exchange is decided: should the driver die on the
     way, ``finish_swaps`` ends it. Files not named are never touched. New files come before old ones go, so a reader
     that lists the folder in between sees rows twice, never too few; writers of one folder must take turns.
     """
-    drop = list(drop)
+    what = {"put": dict(put), "drop": list(drop), "staging": staged}
     journal = f"{folder.rstrip('/')}/{JOURNAL}/{uuid.uuid4().hex}.json"
-    write_text(spark, journal, json.dumps({"put": dict(put), "drop": drop}))
-    _apply(spark, folder, put, drop)
-    fs, done = file_system(spark, journal)
-    fs.delete(done, False)
+    write_text(spark, journal, json.dumps(what))
+    _end(spark, folder, journal, what)
 
 
 def finish_swaps(spark: SparkSession, folder: str) -> int:
     """End the exchanges that were decided and not ended; returns their number. Ending one twice changes nothing."""
-    fs, journals = file_system(spark, f"{folder.rstrip('/')}/{JOURNAL}")
-    if not fs.exists(journals):
-        return 0
-    ended = 0
-    for status in fs.listStatus(journals):
-        name = status.getPath().toString()
-        if name.endswith(".json") and not status.getPath().getName().startswith("."):
-            what = json.loads(read_text(spark, name))
-            _apply(spark, folder, what["put"], what["drop"])
-            fs.delete(status.getPath(), False)
-            ended += 1
-    return ended
+    journals = _journals(spark, folder)
+    for journal in journals:
+        _end(spark, folder, journal, json.loads(read_text(spark, journal)))
+    return len(journals)

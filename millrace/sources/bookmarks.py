@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sinks.swap import file_system, files_below, finish_swaps, read_text, swap, write_text
+from ..sinks.swap import file_system, read_text, write_text
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -89,7 +89,7 @@ class Bookmark:
         """Hand the new rows and the number of the run to ``sink``, then commit; returns the number.
 
         Each row is handed out once if the sink, called again with the same number and rows, leaves what one call
-        leaves; ``append_once`` is such a sink. The mark moves only after the sink has returned. Nothing is committed
+        leaves; ``sinks.batches.append_once`` is such a sink. The mark moves only after the sink has returned. Nothing is committed
         for a run without new rows; the number of the last commit is returned.
         """
         n = self.committed() + 1
@@ -133,21 +133,3 @@ class Bookmark:
             ties = ties.unionByName(self.spark.read.schema(table.schema).parquet(f"{self.folder}/ties-{n - 1:012d}").where(held))
         ties.write.mode("overwrite").parquet(f"{self.folder}/ties-{n:012d}")
         write_text(self.spark, f"{self.folder}/commits/{n:012d}.json", json.dumps({"mark": mark}))
-
-
-def append_once(folder: str) -> Callable[[DataFrame, int], None]:
-    """A sink that appends the rows of a run to a parquet folder. The files of a run have its number in their names; a
-    run that is repeated replaces them."""
-    def sink(rows: DataFrame, number: int) -> None:
-        spark = rows.sparkSession
-        finish_swaps(spark, folder)
-        prefix = f"run-{number:012d}-"
-        staging = f"{folder.rstrip('/')}/.staging-{number:012d}"
-        rows.write.mode("overwrite").parquet(staging)
-        # Files of a run that broke off have the same beginning, those of this one another ending.
-        old = [p for p in files_below(spark, folder) if p.rsplit("/", 1)[1].startswith(prefix)]
-        put = {p: f"{folder.rstrip('/')}/{prefix}{p.rsplit('/', 1)[1]}" for p in files_below(spark, staging)}
-        swap(spark, folder, put, old)
-        _delete(spark, staging)
-
-    return sink

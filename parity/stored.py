@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators.shaping import resolve_choice
 from millrace.session import scratch_path
 from millrace.sinks import rewrites
+from millrace.sinks.batches import append_once
 from millrace.sinks.swap import files_below
 from millrace.sources import bookmarks, discovery
 
@@ -103,7 +104,7 @@ def bookmarked_orders(t):
     sink's write and the commit. Each order is taken over once."""
     source, out = scratch_path(t.spark, "growing"), scratch_path(t.spark, "taken")
     mark = bookmarks.Bookmark(t.spark, scratch_path(t.spark, "marks"), "orders", ["at"])
-    sink = bookmarks.append_once(out)
+    sink = append_once(out)
     orders = t.orders.select("o_orderkey", as_ntz("o_orderdate"), "o_totalprice")
     # The state key only grows with the part, but parts share the keys at their border.
     rows = orders.select("*", F.expr("IF(o_orderkey % 3 = 0, 1, 2)").alias("part"),

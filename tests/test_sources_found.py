@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.shaping import resolve_choice
+from millrace.sinks.batches import append_batch, append_once, is_committed
 from millrace.sources import bookmarks, discovery
 
 LINES = ['{"id":1,"a":5,"b":{"x":1.5,"y":[1,2]},"w d":true}', '{"id":2,"a":"five","b":{"x":2,"y":["q"]},"e,f: <g>":1}',
@@ -79,7 +80,7 @@ def test_each_row_is_handed_out_once(spark, tmp_path):
     """Growing rows, ties at the mark that come later, repeated rows, rows without a key, and a run that breaks."""
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     mark = bookmarks.Bookmark(spark, str(tmp_path / "marks"), "orders", ["k", "j"])
-    sink = bookmarks.append_once(out)
+    sink = append_once(out)
     every = []
 
     def grow(rows):
@@ -112,7 +113,7 @@ def test_each_row_is_handed_out_once(spark, tmp_path):
 def test_a_run_of_ties_only_keeps_the_mark(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     mark = bookmarks.Bookmark(spark, str(tmp_path / "marks"), "t", ["k"])
-    sink = bookmarks.append_once(out)
+    sink = append_once(out)
     total = []
     for rows in ([(None, "a", 1)], [(5, "a", 1)], [(5, "b", 1)], [(5, "a", 1), (None, "a", 1)], [(6, "c", 1)]):
         total += rows
@@ -123,14 +124,14 @@ def test_a_run_of_ties_only_keeps_the_mark(spark, tmp_path):
 def test_sources_of_one_folder_have_marks_of_their_own(spark, tmp_path):
     table = grown(spark, str(tmp_path / "in"), [(1, "a", 1)])
     first, second = (bookmarks.Bookmark(spark, str(tmp_path / "marks"), n, ["k"]) for n in ("a", "b"))
-    assert first.run(table, bookmarks.append_once(str(tmp_path / "a"))) == 1
+    assert first.run(table, append_once(str(tmp_path / "a"))) == 1
     assert second.committed() == 0 and second.new_rows(table).count() == 1 and first.new_rows(table).count() == 0
 
 
 def test_the_scan_is_filtered_by_the_mark(spark, tmp_path):
     source = str(tmp_path / "in")
     mark = bookmarks.Bookmark(spark, str(tmp_path / "marks"), "t", ["k"])
-    mark.run(grown(spark, source, [(i, "a", 1) for i in range(10)]), bookmarks.append_once(str(tmp_path / "out")))
+    mark.run(grown(spark, source, [(i, "a", 1) for i in range(10)]), append_once(str(tmp_path / "out")))
     plan = mark.new_rows(spark.read.parquet(source))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(k,9)" in plan and "EqualTo(k,9)" in plan
 
@@ -138,5 +139,36 @@ def test_the_scan_is_filtered_by_the_mark(spark, tmp_path):
 def test_times_survive_as_marks(spark, tmp_path):
     rows = spark.range(5).select(F.expr("timestamp'2024-01-01 00:00:00.123456' + make_dt_interval(0, 0, 0, id)").alias("ts"), "id")
     mark = bookmarks.Bookmark(spark, str(tmp_path / "marks"), "t", ["ts"])
-    mark.run(rows, bookmarks.append_once(str(tmp_path / "out")))
+    mark.run(rows, append_once(str(tmp_path / "out")))
     assert mark.new_rows(rows).count() == 0 and json.loads(json.dumps(mark.mark())) == ["2024-01-01 00:00:04.123456"]
+
+
+def test_a_batch_is_added_once_and_in_the_layout_of_one_write(spark, tmp_path):
+    out, plain = str(tmp_path / "out"), str(tmp_path / "plain")
+    rows = spark.range(40).select("id", F.concat(F.lit("d"), F.col("id") % 3).alias("day"))
+    rows.write.partitionBy("day").json(plain)
+    assert append_batch(rows.where("id < 20"), out, 0, "w", "json", ["day"], compression="gzip")
+    assert append_batch(rows.where("id >= 20"), out, 1, "w", "json", ["day"], compression="gzip")
+    assert not append_batch(rows.where("id >= 20"), out, 1, "w", "json", ["day"], compression="gzip")
+    assert append_batch(rows.limit(0), out, 2, "w", "json", ["day"])
+    assert append_batch(rows.where("id < 0"), out, 0, "other", "json", ["day"])
+    assert is_committed(spark, out, 2, "w") and not is_committed(spark, out, 3, "w")
+    layout = lambda p: sorted(x.name for x in p.iterdir() if "=" in x.name)
+    assert layout(tmp_path / "out") == layout(tmp_path / "plain") == ["day=d0", "day=d1", "day=d2"]
+    assert sorted(spark.read.json(out).collect()) == sorted(rows.collect())
+    with pytest.raises(ValueError):
+        append_batch(rows, out, 3, "a/b")
+
+
+def test_a_batch_whose_swap_was_decided_is_not_added_again(spark, tmp_path, monkeypatch):
+    """The driver dies in the middle of the renames; the repeated batch ends them and adds nothing."""
+    from millrace.sinks import swap as swaps
+
+    out, rows = str(tmp_path / "out"), spark.range(30).repartition(3)
+    whole = swaps._apply
+    monkeypatch.setattr(swaps, "_apply", lambda s, f, put, drop: (whole(s, f, dict(list(put.items())[:1]), []), 1 / 0))
+    with pytest.raises(ZeroDivisionError):
+        append_batch(rows, out, 5)
+    monkeypatch.setattr(swaps, "_apply", whole)
+    assert not append_batch(rows, out, 5)
+    assert sorted(r[0] for r in spark.read.parquet(out).collect()) == list(range(30))

@@ -123,9 +123,8 @@ def test_a_swap_that_was_decided_is_ended_later(spark, tmp_path, monkeypatch):
     """The driver dies after the first move: the journal is there, the rest is done by the next one."""
     folder = tmp_path / "t"
     folder.mkdir()
-    for name in ("old1", "old2", ".new1", ".new2"):
+    for name in ("old1", "old2"):
         (folder / name).write_text(name)
-    put = {f"{folder}/.new1": f"{folder}/a", f"{folder}/.new2": f"{folder}/b"}
     whole = swaps._apply
 
     def half(spark, folder, put, drop):
@@ -133,12 +132,24 @@ def test_a_swap_that_was_decided_is_ended_later(spark, tmp_path, monkeypatch):
         raise RuntimeError("driver died")
 
     monkeypatch.setattr(swaps, "_apply", half)
-    with pytest.raises(RuntimeError):
-        swaps.swap(spark, str(folder), put, [f"{folder}/old1", f"{folder}/old2"])
+    with pytest.raises(RuntimeError), swaps.staging(spark, str(folder)) as staged:
+        Path(staged).mkdir()
+        for name in ("new1", "new2"):
+            (Path(staged) / name).write_text(name)
+        swaps.swap(spark, str(folder), staged, {f"{staged}/new1": f"{folder}/a", f"{staged}/new2": f"{folder}/b"},
+                   [f"{folder}/old1", f"{folder}/old2"])
     monkeypatch.setattr(swaps, "_apply", whole)
     assert swaps.finish_swaps(spark, str(folder)) == 1
     assert sorted(p.name for p in folder.iterdir() if p.is_file() and not p.name.startswith(".")) == ["a", "b"]
-    assert (folder / "a").read_text() == ".new1" and swaps.finish_swaps(spark, str(folder)) == 0
+    assert (folder / "a").read_text() == "new1" and swaps.finish_swaps(spark, str(folder)) == 0
+    assert not Path(staged).exists()
+
+
+def test_staged_files_go_if_nothing_was_decided(spark, tmp_path):
+    with pytest.raises(ValueError), swaps.staging(spark, str(tmp_path)) as staged:
+        Path(staged).mkdir()
+        raise ValueError
+    assert not Path(staged).exists() and swaps.finish_swaps(spark, str(tmp_path)) == 0
 
 
 def test_files_below_skips_what_spark_skips(spark, tmp_path):
