@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Partition values that a filter lists at most.
+PRUNE_VALUES = 10_000
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -53,3 +56,28 @@ def read_partitions(spark: SparkSession, path: str, only: Column, fmt: str = "pa
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path).filter(only)
+
+
+def read_pruned(spark: SparkSession, path: str, dimension: DataFrame, on: Sequence[str], fmt: str = "parquet",
+                schema: str | T.StructType | None = None, how: str = "inner") -> DataFrame:
+    """Scan a partitioned folder joined to a filtered dimension by partition columns: only the folders that the
+    dimension names are read.
+
+    A dimension below the session's broadcast limit is broadcast, and Spark prunes by its values while the query runs.
+    Of a larger one the different partition values are looked up first; up to ``PRUNE_VALUES`` of them become a filter
+    on the folders. With more nothing is pruned, and the join is right all the same.
+    """
+    if how not in ("inner", "left_semi"):
+        raise ValueError("rows without a match may go only in an inner or semi join")
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    fact, on = reader.load(path), list(on)
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if int(str(dimension._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit:
+        return fact.join(F.broadcast(dimension), on, how)
+    values = dimension.select(*on).distinct().limit(PRUNE_VALUES + 1).collect()
+    if len(values) <= PRUNE_VALUES:
+        for i, name in enumerate(on):
+            fact = fact.where(F.col(name).isin(sorted({v[i] for v in values if v[i] is not None})))
+    return fact.join(dimension, on, how)

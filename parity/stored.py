@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.partials import merged, partials, statistic, with_empty_buckets
 from millrace.operators.shaping import resolve_choice
-from millrace.session import scratch_path
-from millrace.sinks import rewrites
+from millrace.plans import apm
+from millrace.session import scratch_path, stored
+from millrace.sinks import files, rewrites
 from millrace.sinks.batches import append_once
 from millrace.sinks.swap import files_below
 from millrace.sources import bookmarks, discovery
+from millrace.sources.files import read_pruned
+from millrace.streaming import logs
+from millrace.streaming.ingest import new_files
+from millrace.streaming.partials import KeptWindows, append_partials
 
-from .registry import as_ntz, query
+from .metrics import END, LOGS_SQL, PANEL_SECONDS, START, TRANSACTIONS_SQL, apdex_sql, log_lines, transactions
+from .registry import as_ntz, cents, query
 
 
 def _mixed_lines(t) -> str:
@@ -128,3 +139,113 @@ def bookmarked_orders(t):
     mark.run(table, sink)
     taken = t.spark.read.schema(rows.schema).parquet(out)
     return (taken.groupBy("o_orderkey", "o_orderdate", "o_totalprice", "part").agg(F.count("*").alias("copies")))
+
+
+def minute_table(t):
+    """Transactions by minute, appended by two runs; the second one reads only what is new."""
+    folder = scratch_path(t.spark, "minutes")
+    rows = transactions(t)
+    late = F.col("ts") >= F.expr("timestamp_ntz'2024-01-12 07:30:30'")
+    for part in (rows.filter(~late), rows.filter(late)):
+        part.write.mode("append").parquet(f"{folder}/in")
+        run = append_partials(new_files(t.spark, f"{folder}/in", rows.schema), f"{folder}/minutes", f"{folder}/progress",
+                              lambda batch: apm.transaction_minutes(batch, 3000))
+        assert sum(p["numInputRows"] for p in run.recentProgress) == part.count()
+    return t.spark.read.parquet(f"{folder}/minutes")
+
+
+def minute_panels(t):
+    return apm.dashboard_of_minutes(minute_table(t), START, END)
+
+
+@query(f"""
+    SELECT 'requests' AS panel, '' AS facet, CAST(count(*) AS BIGINT) AS events, count(*) * 60.0::DOUBLE / {PANEL_SECONDS}::DOUBLE AS value
+    FROM {TRANSACTIONS_SQL} UNION ALL
+    SELECT 'errors', CAST(100.0 * count(*) FILTER (error) / count(*) > 2.5 AS VARCHAR), NULL,
+           100.0::DOUBLE * count(*) FILTER (error) / count(*) FROM {TRANSACTIONS_SQL} UNION ALL
+    SELECT 'durations', "appName", count(*), CAST(sum(duration) AS DOUBLE) / count(*) FROM {TRANSACTIONS_SQL} GROUP BY 2 UNION ALL
+    SELECT 'names', name, count(*), count(*) * 60.0::DOUBLE / {PANEL_SECONDS}::DOUBLE FROM {TRANSACTIONS_SQL} GROUP BY 2""")
+def panels_of_minutes(t):
+    """The panels without a time axis, from the minute table."""
+    panels = minute_panels(t)
+    none = F.lit(None).cast("long").alias("events")
+    return (panels["requests_per_minute"].select(F.lit("requests").alias("panel"), F.lit("").alias("facet"), "events", F.col("rate").alias("value"))
+            .unionAll(panels["error_rate"].select(F.lit("errors"), F.col("red").cast("string"), none, "pct"))
+            .unionAll(panels["average_duration_by_app"].select(F.lit("durations"), "appName", "events", "mean"))
+            .unionAll(panels["requests_per_minute_by_name"].select(F.lit("names"), "name", "events", "rate")))
+
+
+PERIODS = (60, 300, 900, 3600, 86400)
+
+
+@query(" UNION ALL ".join(f"""
+    SELECT {p} AS period, to_timestamp(floor(epoch(ts))::BIGINT // {p} * {p})::TIMESTAMP AS bucket_start, "appName",
+           CAST(sum(duration) AS DOUBLE) / count(*) AS mean, CAST(max(duration) AS BIGINT) AS most, CAST(count(*) AS BIGINT) AS n
+    FROM {TRANSACTIONS_SQL} GROUP BY ALL""" for p in PERIODS))
+def periods_of_minutes(t):
+    """One minute table for all periods from a minute to a day."""
+    minutes = stored(minute_table(t).where((F.col("bucket_start") >= F.lit(START)) & (F.col("bucket_start") < F.lit(END))), "minutes")
+    out = [merged(minutes, ["appName"], p).select(F.lit(p).alias("period"), as_ntz("bucket_start"), "appName",
+                                                  statistic("avg").alias("mean"), "most", "n") for p in PERIODS]
+    return reduce(DataFrame.unionAll, out)
+
+
+@query(apdex_sql(TRANSACTIONS_SQL, "duration", "host", 3000) + " ORDER BY apdex DESC, host LIMIT 5")
+def apdex_of_minutes(t):
+    return minute_panels(t)["apdex_top5_by_host"]
+
+
+@query("""
+    WITH e AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS bucket_start, event_type, count(*) AS n FROM events
+               WHERE ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-06' GROUP BY 1, 2),
+    g AS (SELECT DISTINCT event_type, unnest(range(TIMESTAMP '2024-01-03', TIMESTAMP '2024-01-06', INTERVAL 1 HOUR)) AS bucket_start FROM e)
+    SELECT bucket_start, event_type, CAST(coalesce(n, 0) AS BIGINT) AS "rows" FROM g LEFT JOIN e USING (bucket_start, event_type)""")
+def empty_buckets(t):
+    """Every hour of three days for every type, also those without an event."""
+    first, last = datetime(2024, 1, 3), datetime(2024, 1, 6)
+    inside = t.events.where((F.col("ts") >= F.lit(first)) & (F.col("ts") < F.lit(last)))
+    counts = partials(inside, "ts", ["event_type"], seconds=3600)
+    return with_empty_buckets(counts, ["event_type"], first, last, 3600).withColumn("bucket_start", as_ntz("bucket_start"))
+
+
+@query("""
+    SELECT time_bucket(INTERVAL 1 HOUR, ts) AS bucket_start, event_type, CAST(count(*) AS BIGINT) AS "rows",
+           CAST(sum(round(value * 100)) AS BIGINT) AS total, CAST(min(round(value * 100)) AS BIGINT) AS least,
+           CAST(max(round(value * 100)) AS BIGINT) AS most FROM events GROUP BY 1, 2
+    HAVING time_bucket(INTERVAL 1 HOUR, min(ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
+def late_windows(t):
+    """Events in two micro-batches, most of the second behind the mark: no window loses a row."""
+    folder = scratch_path(t.spark, "kept")
+    rows = t.events.select("ts", "event_type", cents("value").alias("value"))
+    kept = KeptWindows(t.spark, folder, "ts", ["event_type"], "value", 3600)
+    second = F.expr("pmod(hash(ts), 5) = 0")
+    for part in (rows.where(~second), rows.where(second)):
+        part.write.mode("append").parquet(f"{folder}/in")
+        kept.run(new_files(t.spark, f"{folder}/in", rows.schema), f"{folder}/progress")
+    assert kept.late_rows().limit(1).count()
+    return kept.windows().select(as_ntz("bucket_start"), "event_type", "rows", "total", "least", "most")
+
+
+@query(f"""SELECT event_id, service AS "dd.service", source, "timestamp", level, message,
+                  substr("timestamp", 1, 4) AS year, substr("timestamp", 6, 2) AS month, substr("timestamp", 9, 2) AS day
+           FROM ({LOGS_SQL}) WHERE service = 'python-app' OR source = 'lambda'""")
+def stream_archive(t):
+    """The stream's archive in two runs, read by the batch reader with its days as columns."""
+    folder = scratch_path(t.spark, "stream-archive")
+    lines = log_lines(t)
+    for part in (lines.where("event_id % 2 = 0"), lines.where("event_id % 2 = 1")):
+        part.write.mode("append").json(f"{folder}/in")
+        logs.archive_logs(new_files(t.spark, f"{folder}/in", lines.schema, "json"), f"{folder}/out", f"{folder}/progress")
+    schema = ("event_id BIGINT, `dd.service` STRING, source STRING, timestamp STRING, level STRING, message STRING, "
+              "year STRING, month STRING, day STRING")
+    return t.spark.read.schema(schema).json(f"{folder}/out")
+
+
+@query("""SELECT event_id, event_type, strftime(ts, '%Y-%m-%d') AS day, dayname(ts) AS name FROM events WHERE dayname(ts) = 'Sunday'""")
+def pruned_by_join(t):
+    """Events by day joined to the days that are Sundays: the other days' folders are not read."""
+    path = scratch_path(t.spark, "pruned-days")
+    days = t.events.select("event_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    files.write_parquet(days.hint("rebalance", "day"), path, partition_by=("day",))
+    calendar = stored(days.select("day").distinct().withColumn("name", F.date_format(F.to_date("day"), "EEEE")), "calendar")
+    return read_pruned(t.spark, path, calendar.where("name = 'Sunday'"), ["day"], schema=days.schema)
