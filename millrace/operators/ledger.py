@@ -64,28 +64,29 @@ def _request_error() -> Column:
 
 
 def _checked(requests: DataFrame, accounts: DataFrame, late: Column | None = None, *extra: str) -> DataFrame:
-    """Requests with parsed account numbers and error columns.
+    """Requests with parsed account numbers and error columns, from one scan of the requests.
 
-    Requests that fail by themselves are not looked up, so requests without a readable number meet nowhere. The
-    accounts are written once with one row per id: both look-ups are plain joins to a table, which Spark splits where
-    one account has very many requests. ``late`` is a rule for those that pass, over the ``extra`` columns of the
-    sender's account, named with two underscores.
+    The accounts are written once with one row per id, ``extra`` numbers of several rows added up as ``balances`` does:
+    both look-ups are plain joins to a table, which Spark splits where one account has very many requests. Requests that
+    fail by themselves are looked up under numbers of their own that no account has, so that those without a readable
+    number meet nowhere. ``late`` is a rule for requests that pass, over the ``extra`` columns of the sender's account,
+    named with two underscores.
     """
     typed = requests.withColumns(
         {"from_acct": account_number("from_account"), "to_acct": account_number("to_account")}
-    )
+    ).withColumn("__failed", _request_error())
     known = stored(accounts.groupBy(F.col("id").cast("bigint").alias("__id")).agg(
-        F.lit(True).alias("__known"), *[F.max(c).alias(f"__{c}") for c in extra]), "accounts")
-    failed = typed.withColumn("error_code", _request_error()).filter(F.col("error_code").isNotNull())
-    sender = known.withColumnsRenamed({"__id": "from_acct", "__known": "__has_from"})
-    receiver = known.select(F.col("__id").alias("to_acct"), F.col("__known").alias("__has_to"))
-    found = (typed.filter(_request_error().isNull()).join(sender, "from_acct", "left")
-             .join(receiver, "to_acct", "left"))
+        F.lit(True).alias("__known"), *[F.sum(c).alias(f"__{c}") for c in extra]), "accounts")
+    # Account numbers that are looked up have 32 bits.
+    spread = F.lit(-(1 << 40)) - F.shiftrightunsigned(F.xxhash64(*[F.col(f"`{c}`") for c in requests.columns]), 24)
+    own = {f"__{side}": F.when(F.col("__failed").isNull(), F.col(side)).otherwise(spread) for side in ("from_acct", "to_acct")}
+    sender = known.withColumnsRenamed({"__id": "__from_acct", "__known": "__has_from"})
+    receiver = known.select(F.col("__id").alias("__to_acct"), F.col("__known").alias("__has_to"))
+    found = typed.withColumns(own).join(sender, "__from_acct", "left").join(receiver, "__to_acct", "left")
     missing = F.when(F.col("__has_from").isNull() | F.col("__has_to").isNull(), "ACCOUNT_NOT_EXISTS")
-    passed = found.withColumn("error_code", missing if late is None else F.coalesce(missing, late))
-    columns = [*typed.columns, "error_code"]
-    both = failed.select(*columns).unionByName(passed.select(*columns))
-    return with_error(both, F.col("error_code"))
+    rules = [F.col("__failed"), missing] + ([late] if late is not None else [])
+    columns = [c for c in typed.columns if c != "__failed"]
+    return with_error(found.withColumn("error_code", F.coalesce(*rules)).select(*columns, "error_code"), F.col("error_code"))
 
 
 def validate_transfers(requests: DataFrame, accounts: DataFrame) -> DataFrame:

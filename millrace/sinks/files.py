@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +39,8 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def _replace(spark: SparkSession, source: str, target: str) -> None:
-    """Put a file in place of ``target``. What was there stays until the new one has the name, or comes back."""
+    """Put a file in place of ``target``. What was there stays until the new one has the name, or comes back; between
+    the two renames there is a moment in which the name is free."""
     fs, to = _file_system(spark, target)
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs.mkdirs(to.getParent())
@@ -90,8 +92,14 @@ def write_parts(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
     df.write.mode(mode).format(fmt).options(**({"header": True} if fmt == "csv" else {})).save(path)
 
 
+def part_order(path: str) -> tuple[int, str]:
+    """Parts by their number: from 100,000 tasks on names are longer and no longer sort as text."""
+    name = path.rsplit("/", 1)[1]
+    return int(re.match(r"part-(\d+)", name)[1]), name
+
+
 def _part_files(spark: SparkSession, folder: str) -> list[str]:
-    return sorted(p for p, n, _ in children(spark, folder) if n and p.rsplit("/", 1)[1].startswith("part-"))
+    return sorted((p for p, n, _ in children(spark, folder) if n and p.rsplit("/", 1)[1].startswith("part-")), key=part_order)
 
 
 def write_single_file(df: DataFrame, path: str, fmt: str = "csv") -> str:

@@ -292,3 +292,8 @@ def test_sizes_follow_the_data():
     assert (small[parts], large[parts]) == ("200", str((20 << 40) // (128 << 20)))
     assert small[scan] == str(128 << 20) and (128 << 20) < int(large[scan]) <= 1 << 30
     assert session.sizes() == {}
+
+
+def test_parts_beyond_five_digits_stay_in_order():
+    names = [f"/t/part-{n:05d}-x-c000.csv" for n in (0, 9, 99999, 100000, 100001, 1000000)]
+    assert sorted(reversed(names), key=sinks.part_order) == names and sorted(names) != names

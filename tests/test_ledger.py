@@ -172,3 +172,23 @@ def test_replay_rejects_what_it_does_not_know(spark):
             for r in replay(ops, opening).collect()}
     assert done == {(1, "deposit"): (True, 25, 200), (2, "Withdraw"): (False, None, 402), (3, None): (False, None, 402),
                     (None, "withdraw"): (False, None, 402), (4, "withdraw"): (True, 0, 200)}
+
+
+def test_rows_of_one_account_add_up_in_every_check(spark):
+    """Two rows of account 1 hold 30 together: enough for 25, not for 31."""
+    accounts = spark.createDataFrame([(1, 10), (1, 20), (2, 0)], "id int, balance int")
+    asked = spark.createDataFrame([("1", "2", 25, "01/02/2030"), ("1", "2", 31, "01/02/2030")],
+                                  "from_account string, to_account string, amount int, schedule_date string")
+    got = {r["amount"]: r["error_code"] for r in ledger.check_schedules(asked, accounts, "2024-01-01").collect()}
+    assert got == {25: None, 31: "AMOUNT_OVERDRAWN"}
+
+
+def test_requests_are_scanned_once(spark, tmp_path):
+    spark.createDataFrame([("1", "2", 5), ("x", "2", 5), (None, "2", 5), ("1", "1", 5)],
+                          "from_account string, to_account string, amount int").write.parquet(str(tmp_path / "r"))
+    accounts = spark.createDataFrame([(1,), (2,)], "id int")
+    out = ledger.validate_transfers(spark.read.parquet(str(tmp_path / "r")), accounts)
+    plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert sum("FileScan" in line and "from_account" in line for line in plan) == 1
+    assert sorted(str(r["error_code"]) for r in out.collect()) == [
+        "FROM_TO_ACCOUNT_IS_SAME", "INVALID_ACCOUNT_FORMAT", "INVALID_ACCOUNT_FORMAT", "None"]

@@ -76,6 +76,8 @@ def small_skew_settings(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000",
+        # A shuffle that one task writes cannot be split: the first join must not be merged to one.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1000",
         "spark.sql.shuffle.partitions": "16",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
