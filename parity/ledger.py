@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import ledger
 from millrace.operators.replay import replay
+from millrace.operators.settlement import settle
 from millrace.operators.windows import running_total
 from millrace.plans.transfers import run_due
 
@@ -194,3 +195,25 @@ def replay_hot_accounts(t):
     ops = operations(t, "c_nationkey")
     done = replay(ops, opening, seq="o_orderkey", hot_rows=max(1, t.orders.count() // 50))
     return done.select("o_orderkey", "account", "accepted", double("balance"), "http_code")
+
+
+@query("""
+    WITH RECURSIVE ops AS (
+      SELECT o_custkey AS account, o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents,
+             row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders),
+    r AS (
+      SELECT c_custkey AS account, 0 AS rn, CAST(NULL AS BIGINT) AS o_orderkey, true AS accepted,
+             CAST(round(greatest(c_acctbal, 0) * 100) AS BIGINT) * 60 AS balance FROM customer
+      UNION ALL
+      SELECT r.account, r.rn + 1, ops.o_orderkey, r.balance >= ops.cents,
+             CASE WHEN r.balance >= ops.cents THEN r.balance - ops.cents ELSE r.balance END
+      FROM r JOIN ops ON ops.account = r.account AND ops.rn = r.rn + 1)
+    SELECT o_orderkey AS trans_id, CASE WHEN NOT accepted THEN 'AMOUNT_OVERDRAWN' END AS error_code FROM r WHERE rn > 0""")
+def settled_transfers(t):
+    """Orders as transfers to the accounts of nations, which send nothing: each sender's own order decides."""
+    asked = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").alias("trans_id"), F.col("o_custkey").alias("from_acct"),
+        (-1 - F.col("c_nationkey")).alias("to_acct"), F.col("o_totalprice").alias("amount"))
+    opening = (t.customer.select(F.col("c_custkey").alias("id"), (F.greatest("c_acctbal", F.lit(0.0)).cast("decimal(18,2)") * 60).alias("balance"))
+               .unionAll(t.nation.select(-1 - F.col("n_nationkey"), F.lit(0))))
+    return settle(asked, opening).transfers.select("trans_id", "error_code")
