@@ -9,6 +9,7 @@ tokens become those tokens, as in the plain call of the library; no stretch begi
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 
 import numpy as np
 
@@ -130,3 +131,10 @@ class Encoder:
         total = np.concatenate([[0], np.cumsum(sizes)])
         edges = total[np.searchsorted(starts, piece.ends)]
         return self.ids[T.ranges(self.starts[slots], sizes)], np.diff(edges)
+
+
+@lru_cache(maxsize=1)
+def shared(path: str) -> Encoder:
+    """The encoder of this worker: the tasks that it runs one after the other load the tokenizer once and share the
+    stretches that are known. What it holds is bounded by ``STORE``."""
+    return Encoder(path)

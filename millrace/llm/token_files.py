@@ -161,7 +161,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
             return
         part = TaskContext.get().partitionId()
         path = f"{folder}/part-{part:06d}.ids.zst"
-        encoder = _bpe.Encoder(tokenizer)
+        encoder = _bpe.shared(tokenizer)
         with Replacing(path) as out:
             writer = Writer(out, frame_ids)
             while batch is not None:
