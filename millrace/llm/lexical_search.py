@@ -284,11 +284,11 @@ q AS (SELECT item_id, term, count(*) AS k FROM (SELECT item_id, unnest(regexp_ex
              translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark WHERE text IS NOT NULL) GROUP BY ALL),
 sizes AS (SELECT row, doc_id, len(t)::BIGINT AS n FROM d WHERE len(t) > 0),
-total AS (SELECT count(*)::BIGINT AS N, sum(n)::BIGINT AS L FROM sizes),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM sizes),
 tf AS (SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(t) AS term FROM d)
        WHERE term IN (SELECT term FROM q) GROUP BY ALL),
-w AS (SELECT term, floor(1000 * ln((2 * N + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, total GROUP BY term, N),
-part AS (SELECT row, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * N) // L))) AS s
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, total GROUP BY term, docs),
+part AS (SELECT row, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // words))) AS s
          FROM tf JOIN w USING (term) JOIN sizes USING (row), total),
 scored AS (SELECT item_id, row, sum(k * s)::BIGINT AS score FROM q JOIN part USING (term) GROUP BY ALL)
 SELECT item_id, rank, doc_id, score FROM (
