@@ -270,8 +270,9 @@ def search(docs: DataFrame, items: DataFrame, top: int = 20, cell_rows: int = CE
             ids = docs.sparkSession.createDataFrame([(q, r["id"]) for q, r in enumerate(own)], "q int, id long")
             out.append(_search(docs, rows, top, cell_rows, seeds).join(F.broadcast(ids), "q").drop("q"))
     if not out:
-        return (docs.join(items, F.lit(False)).select(
-            items["item_id"], F.lit(0).alias("rank"), docs["doc_id"], F.lit(0).cast("long").alias("score")))
+        kinds = {c: df.schema[c].dataType.simpleString() for df, c in ((items, "item_id"), (docs, "doc_id"))}
+        return docs.sparkSession.createDataFrame(
+            [], f"item_id {kinds['item_id']}, rank int, doc_id {kinds['doc_id']}, score long")
     found = reduce(DataFrame.unionByName, out)
     return found.join(asked.select("id", "item_id"), "id").select("item_id", "rank", "doc_id", "score")
 

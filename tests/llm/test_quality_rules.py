@@ -109,7 +109,7 @@ def test_pruning_drops_a_condition_that_does_not_hold_up():
 def test_expression_agrees_with_the_rules_in_numpy(spark):
     rows = awkward()
     rules = R.DecisionList([R.Rule((R.Condition("symbol_share", True, 0.1),)),
-                            R.Rule((R.Condition("distinct_share", False, 0.4), R.Condition("n" and "dup_lines", True, 1.0))),
+                            R.Rule((R.Condition("distinct_share", False, 0.4), R.Condition("dup_lines", True, 1.0))),
                             R.Rule((R.Condition("flagged", True, 1.0),))], ["idiot"])
     got = R.judge(spark.createDataFrame(rows, DOCUMENTS), rules)
     assert str(rules).startswith("1. reject if symbol_share >= 0.1\n2. reject if distinct_share < 0.4 and dup_lines >= 1")
