@@ -32,14 +32,21 @@ def read_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.text([path] if isinstance(path, str) else list(path))
 
 
-def read_json_array(spark: SparkSession, path: str, schema: str | T.StructType, per_line: bool = False) -> DataFrame:
+def read_json_array(spark: SparkSession, path: str, schema: str | T.StructType, per_line: bool = False,
+                    file_bytes: int | None = None) -> DataFrame:
     """Records of files that each hold one top-level JSON array.
 
-    A file in this form is parsed whole by one task. Where no record of a big file goes across lines, ``per_line``
-    reads the file as lines instead, so that it feeds many tasks. A line may hold any number of records; one that does
-    not parse is an error.
+    A file in this form is parsed whole by one task, which holds it in memory; the read fails if a file has more than
+    ``file_bytes``, if that is given. Where no record of a big file goes across lines, ``per_line`` reads the file as
+    lines instead, so that it feeds many tasks. A line may hold any number of records; one that does not parse is an
+    error.
     """
     if not per_line:
+        if file_bytes is not None:
+            sizes = spark.read.format("binaryFile").load(path).select(F.max("length"))  # the listing, not the contents
+            largest = sizes.first()[0]
+            if largest is not None and largest > file_bytes:
+                raise ValueError(f"a file of {largest} bytes would be parsed by one task; the limit is {file_bytes}")
         return spark.read.schema(schema).option("multiLine", True).json(path)
     # Records are objects: brackets outside the first and last brace belong to the array around them.
     records = F.regexp_replace("value", r"^\s*\[?[\s,]*|[\s,]*\]?[\s,]*$", "")

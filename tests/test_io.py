@@ -297,3 +297,13 @@ def test_sizes_follow_the_data():
 def test_parts_beyond_five_digits_stay_in_order():
     names = [f"/t/part-{n:05d}-x-c000.csv" for n in (0, 9, 99999, 100000, 100001, 1000000)]
     assert sorted(reversed(names), key=sinks.part_order) == names and sorted(names) != names
+
+
+def test_a_json_array_above_the_named_size_is_refused(spark, tmp_path):
+    (tmp_path / "small.json").write_text('[{"a": 1},\n {"a": 2}]')
+    read = lambda limit: files.read_json_array(spark, str(tmp_path), "a INT", file_bytes=limit).count()
+    assert read(None) == read(1000) == 2
+    (tmp_path / "large.json").write_text("[" + ", ".join('{"a": 3}' for _ in range(200)) + "]")
+    with pytest.raises(ValueError, match="one task"):
+        read(1000)
+    assert files.read_json_array(spark, str(tmp_path), "a INT", per_line=True, file_bytes=10).count() == 202
