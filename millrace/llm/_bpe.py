@@ -20,6 +20,8 @@ from . import _text as T
 
 # Distinct stretches kept per worker; beyond it the store starts anew.
 STORE = 400_000
+# Stretches handed to the library as one text.
+JOINED = 256
 
 
 def load(path: str):
@@ -67,6 +69,18 @@ def cuts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut[:n])
 
 
+def separator(added: list[bytes]) -> bytes | None:
+    """An added token whose string the library finds between any two texts that do not hold it: it can overlap neither
+    itself nor another one."""
+    for mark in added:
+        heads, tails = [mark[:k] for k in range(1, len(mark))], tuple(mark[k:] for k in range(1, len(mark)))
+        others = [t for t in added if t != mark]
+        if mark and not any(mark.endswith(h) for h in heads) and not any(
+                mark in t or t in mark or t.startswith(tails) or any(t.endswith(h) for h in heads) for t in others):
+            return mark
+    return None
+
+
 class Encoder:
     """Ids of pieces. Stretches are told apart by length and a 64-bit hash."""
 
@@ -80,6 +94,8 @@ class Encoder:
         if any(t.lstrip or t.rstrip or t.single_word for t in added):
             raise ValueError("a tokenizer whose added tokens stand for their strings alone is needed")
         self.added = [t.content.encode() for t in added]
+        self.mark = separator(self.added) if self.tokenizer.truncation is None and self.tokenizer.padding is None else None
+        self.mark_id = None if self.mark is None else self.tokenizer.token_to_id(self.mark.decode())
         self._empty()
 
     def _empty(self) -> None:
@@ -106,6 +122,24 @@ class Encoder:
             starts = starts[~apart[starts]]
         return starts
 
+    def _library(self, texts: list[bytes], step: int = JOINED) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids per text), as the library gives for each text alone. An added token between
+        two texts keeps them apart, so ``step`` of them are one call's text."""
+        if self.mark is None or self.mark in b"\0".join(texts):
+            step = 1
+        joined = [(self.mark or b"").join(texts[i:i + step]).decode() for i in range(0, len(texts), step)]
+        lists = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+        if step == 1:
+            return np.concatenate(lists), np.fromiter(map(len, lists), np.int64, len(lists))
+        # A mark behind each call's last text as well.
+        last = np.array([self.mark_id], np.uint32)
+        ids = np.concatenate([x for found in lists for x in (found, last)])
+        marks = ids == self.mark_id
+        sizes = np.diff(np.flatnonzero(marks), prepend=-1) - 1
+        if len(sizes) != len(texts):  # merges made the mark's id
+            return self._library(texts, 1)
+        return ids[~marks], sizes
+
     def encode(self, piece: T.Piece) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids per text)."""
         starts = self._starts(piece)
@@ -121,14 +155,13 @@ class Encoder:
         new = np.flatnonzero(slots < 0)
         if len(new):
             buffer = piece.bytes.tobytes()
-            texts = [buffer[a:b].decode() for a, b in zip(starts[first[new]].tolist(), stops[first[new]].tolist())]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            texts = [buffer[a:b] for a, b in zip(starts[first[new]].tolist(), stops[first[new]].tolist())]
+            ids, sizes = self._library(texts)
             slots[new] = np.arange(len(new)) + len(self.starts)
             self.known.update(zip(distinct[new].tolist(), slots[new].tolist()))
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
-            self.ids = np.concatenate([self.ids, np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))])
+            self.ids = np.concatenate([self.ids, ids])
         slots = slots[which]
         sizes = self.sizes[slots]
         total = np.concatenate([[0], np.cumsum(sizes)])

@@ -56,6 +56,33 @@ def test_added_tokens_are_those_of_the_unmodified_library():
     assert got == want
 
 
+def test_many_stretches_are_one_call_of_the_library():
+    enc = _bpe.Encoder(_bpe.default_path())
+    real, calls = enc.tokenizer, []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            calls.extend(texts)
+            return real.encode_batch_fast(texts, **options)
+
+    enc.tokenizer = Counting()
+    texts = [" ".join(f"word{i}x{j}" for j in range(40)) for i in range(50)] + ["", "é", "日" * 9]
+    for more in ([], MARKED):  # with the mark in a stretch, each is a call
+        for piece in _text.pieces(pa.array(texts + more)):
+            ids, sizes = enc.encode(piece)
+            want = [e.ids for e in real.encode_batch(texts + more, add_special_tokens=False)]
+            assert [i.tolist() for i in np.split(ids, np.cumsum(sizes)[:-1])] == want
+        if not more:
+            assert 0 < len(calls) <= -(-2002 // _bpe.JOINED)
+
+
+def test_a_separator_overlaps_no_added_token():
+    assert _bpe.separator([b"<|x|>", b"<s>"]) == b"<|x|>"
+    assert _bpe.separator([b"a<|", b"<|x|>"]) is None
+    assert _bpe.separator([b"aba"]) is None and _bpe.separator([]) is None
+    assert _bpe.separator([b"<s>", b"<s>2", b"1-"]) == b"1-"
+
+
 def plain(rows):
     tokenizer = _bpe.load(_bpe.default_path())
     rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
