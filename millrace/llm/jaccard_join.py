@@ -47,7 +47,9 @@ REMEMBERED = 1 << 20
 BLOCK = 1024
 # Sets fetched by a list of their names; above it they are fetched by a join.
 NAMED_SETS = 1 << 18
-SKETCH = "n long, grp long, cls binary, ranges binary, prefix array<long>"
+# Bits of the filter, 2^MARKS of them, that tells texts whose set is not wanted. It changes the work, not the result.
+MARKS = 26
+SKETCH = "n long, grp long, cls binary, ranges binary, prefix array<long>, key long"
 
 
 def need(n, percent: int = PERCENT):
@@ -55,6 +57,19 @@ def need(n, percent: int = PERCENT):
     return (percent * n + 99) // 100
 
 
+def _sorting(owner: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Order by owner, then token; rows that are alike in any order. One sort by as much of both as 64 bits hold."""
+    bits = int(owner.max(initial=0)).bit_length()
+    if not bits:
+        return np.argsort(tokens)
+    key = (owner.astype(T.U64) << T.U64(64 - bits)) | (tokens >> T.U64(bits))
+    order = np.argsort(key)
+    key, tokens_ = key[order], tokens[order]
+    if ((key[1:] == key[:-1]) & (tokens_[1:] < tokens_[:-1])).any():
+        order = np.lexsort((tokens, owner))
+    return order
+
+
 def shingles(piece: T.Piece) -> tuple[np.ndarray, np.ndarray]:
     """(text, shingle) of the distinct shingles, in order of both. Texts of one to four words have one shingle."""
     found = T.words(piece)
@@ -70,7 +85,7 @@ def shingles(piece: T.Piece) -> tuple[np.ndarray, np.ndarray]:
             owner.append(texts)
             tokens.append(T.mix(T.window_hashes(values, n)[found.ends[texts]] + T.U64(n)))
     owner, tokens = np.concatenate(owner), np.concatenate(tokens)
-    order = np.lexsort((tokens, owner))
+    order = _sorting(owner, tokens)
     owner, tokens = owner[order], tokens[order]
     if len(owner):
         keep = np.append(True, (owner[1:] != owner[:-1]) | (tokens[1:] != tokens[:-1]))
@@ -142,9 +157,10 @@ def sketches(docs: DataFrame, keep: list[str], frequent: np.ndarray | None = Non
              percent: int = PERCENT) -> DataFrame:
     """The ``keep`` columns of every row with SKETCH. The prefix is given for the first row of a group in each task and
     only if ``frequent`` is given; empty sets have none."""
-    inner = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], F.col("text").alias("__text"))
-    names = inner.columns[:-1]
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in inner.schema.fields[:-1]] + [SKETCH])
+    inner = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], F.xxhash64("text").alias("__key"),
+                        F.col("text").alias("__text"))
+    names = inner.columns[:-2]
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in inner.schema.fields[:-2]] + [SKETCH])
     if frequent is not None:
         order = np.argsort(frequent)
         table_ = docs.sparkSession.sparkContext.broadcast((frequent[order], (order + 1).astype(np.int64)))
@@ -184,10 +200,11 @@ def sketches(docs: DataFrame, keep: list[str], frequent: np.ndarray | None = Non
                 out.append(pa.RecordBatch.from_arrays(
                     [pa.array(sizes.astype(np.int64)), pa.array(groups.view(np.int64)), pa.array(classes, pa.binary()),
                      pa.array(ranges, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
-                    [c.split()[0] for c in SKETCH.split(", ")]))
+                    [c.split()[0] for c in SKETCH.split(", ")[:-1]]))
             if out:
                 found = pa.Table.from_batches(out).combine_chunks().to_batches()[0]
-                yield pa.RecordBatch.from_arrays(batch.columns[:-1] + found.columns, names + found.schema.names)
+                yield pa.RecordBatch.from_arrays(batch.columns[:-2] + found.columns + [batch.column(batch.num_columns - 2)],
+                                                 names + found.schema.names + ["key"])
 
     out = inner.mapInArrow(run, schema)
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)],
@@ -310,19 +327,40 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "u binary, v binary")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, kind: type) -> DataFrame:
-    """(cls, tokens) of the wanted classes, computed anew from the texts: tokens are the sorted upper bits of the
-    hashes that ``kind`` has room for, in bytes."""
+def _marks(keys: DataFrame) -> np.ndarray:
+    """A filter of 2^MARKS bits, as 64-bit words, with those of the ``key`` column set; its size is fixed."""
+    at = F.shiftrightunsigned("key", 64 - MARKS)
+    words = (keys.select(F.shiftright(at, 6).cast("int").alias("word"),
+                         F.expr("shiftleft(1L, CAST(shiftrightunsigned(key, %d) & 63 AS INT))" % (64 - MARKS)).alias("bit"))
+             .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
+    out = np.zeros(1 << max(0, MARKS - 6), T.U64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(T.U64)
+    return out
+
+
+def _marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys.view(T.U64) >> T.U64(64 - MARKS)
+    return (marks[(at >> T.U64(6)).astype(np.int64)] >> (at & T.U64(63)) & T.U64(1)).astype(bool)
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, classes: DataFrame, kind: type) -> DataFrame:
+    """(cls, tokens) of the wanted classes, computed anew from one text of each: tokens are the sorted upper bits of the
+    hashes that ``kind`` has room for, in bytes. The filter passes over most other texts; what it lets through by chance
+    goes by name."""
     shift = T.U64(64 - 8 * np.dtype(kind).itemsize)
     spark = docs.sparkSession
     names = None
     if wanted.count() <= NAMED_SETS:
         names = spark.sparkContext.broadcast(set(wanted.toArrow().column("cls").to_pylist()))
+    marks = spark.sparkContext.broadcast(_marks(classes.select("cls", "key").join(wanted, "cls", "left_semi")))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
-            for piece in T.pieces(batch.column(0)):
+            near = _marked(marks.value, batch.column(0).to_numpy())
+            if not near.any():
+                continue
+            for piece in T.pieces(batch.column(1).filter(pa.array(near))):
                 owner, tokens = shingles(piece)
                 ends = np.searchsorted(owner, np.arange(len(piece) + 1))
                 cls, sets = [], []
@@ -337,7 +375,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, kind: type) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), pa.array(sets, pa.binary())],
                                                      ["cls", "tokens"])
 
-    found = docs.select("text").mapInArrow(run, "cls binary, tokens binary")
+    found = docs.select(F.xxhash64("text").alias("key"), "text").mapInArrow(run, "cls binary, tokens binary")
     if names is None:
         found = found.join(wanted, "cls", "left_semi")
     return found.groupBy("cls").agg(F.first("tokens").alias("tokens"))
@@ -355,7 +393,7 @@ def _spare(a: np.ndarray, b: np.ndarray, percent: int) -> tuple[int, bool]:
     return spare, spare >= (MARGIN + (size * size >> 32)) * (100 + percent)
 
 
-def _overlaps(docs: DataFrame, pairs: DataFrame, kind: type, percent: int) -> DataFrame:
+def _overlaps(docs: DataFrame, pairs: DataFrame, classes: DataFrame, kind: type, percent: int) -> DataFrame:
     """(u, v, spare, sure) of pairs of classes, see ``_spare``, so far as hashes cut to ``kind`` tell."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -366,21 +404,21 @@ def _overlaps(docs: DataFrame, pairs: DataFrame, kind: type, percent: int) -> Da
                  pa.array([x for _, x in found], pa.bool_())], ["u", "v", "spare", "sure"])
 
     wanted = pairs.select(F.col("u").alias("cls")).union(pairs.select("v")).distinct()
-    sets = stored(_sets(docs, wanted, kind), "shingle-sets")
+    sets = stored(_sets(docs, wanted, classes, kind), "shingle-sets")
     joined = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v").select("u", "v", "a", "b")
     return joined.mapInArrow(run, "u binary, v binary, spare long, sure boolean")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) of classes whose sets are similar enough. ``pairs`` is a written table."""
     if pairs.isEmpty():
         return pairs
-    found = stored(_overlaps(docs, pairs, np.uint32, percent).where("spare >= 0"), "shingle-overlaps")
+    found = stored(_overlaps(docs, pairs, classes, np.uint32, percent).where("spare >= 0"), "shingle-overlaps")
     close = stored(found.where("NOT sure").select("u", "v"), "shingle-close")
     out = found.where("sure").select("u", "v")
     if close.isEmpty():
         return out
-    return out.union(_overlaps(docs, close, np.uint64, percent).where("spare >= 0").select("u", "v"))
+    return out.union(_overlaps(docs, close, classes, np.uint64, percent).where("spare >= 0").select("u", "v"))
 
 
 def _across(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -448,13 +486,13 @@ def link_classes(docs: DataFrame, sketched: DataFrame, percent: int = PERCENT) -
              .mapInArrow(_lists, "list long, token long, size long, grp long"))
     lists = (lists.withColumn("chosen", F.min("token").over(W.Window.partitionBy("list")))
              .where("token = chosen").select("list", "size", "grp"))
-    classes = stored(sketched.where("n > 0").groupBy("grp", "cls", "n").agg(F.first("ranges").alias("ranges")),
-                     "shingle-classes")
+    classes = stored(sketched.where("n > 0").groupBy("grp", "cls", "n")
+                     .agg(F.first("ranges").alias("ranges"), F.first("key").alias("key")), "shingle-classes")
     # Sets of one group are a list of their own.
     many = classes.groupBy("grp").agg(F.count("*").alias("size")).where("size > 1")
-    named = classes.select("grp", "cls")
-    members = stored(lists.join(named, "grp").select("list", "size", "cls")
-                     .union(named.join(many, "grp").select(F.xxhash64("grp").alias("list"), "size", "cls"))
+    named = classes.select("grp", "cls", "n")
+    members = stored(lists.join(named, "grp").select("list", "size", "cls", "n")
+                     .union(named.join(many, "grp").select(F.xxhash64("grp").alias("list"), "size", "cls", "n"))
                      .distinct(), "shingle-lists")
     scores = members.groupBy("cls").agg(F.sum("size").alias("score"))
     links, labels = None, None
@@ -467,11 +505,17 @@ def link_classes(docs: DataFrame, sketched: DataFrame, percent: int = PERCENT) -
             weights = labels.groupBy("label").agg(F.count("*").alias("weight"))
             ranked = (labelled.join(weights, "label", "left").join(scores, "cls"))
             best = F.struct(F.coalesce("weight", F.lit(1)), F.xxhash64("cls", "list"), "cls")
-        top = ranked.groupBy("list").agg(F.max_by(F.struct("cls", "label"), best).alias("top"))
-        star = (ranked.join(top, "list").where("label <> top.label")
+        top = ranked.groupBy("list").agg(F.max_by(F.struct("cls", "label", "n"), best).alias("top"),
+                                          F.count("*").alias("members"))
+        if labels is not None:
+            # The first star has tested the one pair of a list of two.
+            top = top.where("members > 2")
+        # Sets too different in size cannot link: such pairs go before any counts are moved.
+        close = F.least("n", "top.n") * 100 >= F.greatest("n", "top.n") * percent
+        star = (ranked.join(top, "list").where("label <> top.label").where(close)
                 .select(F.least("cls", "top.cls").alias("u"), F.greatest("cls", "top.cls").alias("v")).distinct())
         tested = stored(_bounded(star, classes, percent), "shingle-pairs")
-        found = stored(_verified(docs, tested, percent), "shingle-links")
+        found = stored(_verified(docs, tested, classes, percent), "shingle-links")
         tests, new = tested.count(), found.count()
         links = found if links is None else links.union(found)
         labels = stored(components(links), "shingle-labels")
@@ -480,10 +524,12 @@ def link_classes(docs: DataFrame, sketched: DataFrame, percent: int = PERCENT) -
             break
     labelled = _labelled(members, labels)
     open_lists = (labelled.groupBy("list").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                               F.count("*").alias("members")).where("lo <> hi").select("list", "members"))
+                                               F.count("*").alias("members"))
+                  .where("lo <> hi AND members > 2").select("list", "members"))
     rank = F.row_number().over(W.Window.partitionBy("list").orderBy("n", "cls")) - 1
-    placed = (labelled.join(open_lists, "list").join(classes.select("cls", "n", "ranges"), "cls")
+    placed = (labelled.join(open_lists, "list")
               .withColumn("block", F.when(F.col("members") > BLOCK, F.floor(rank / BLOCK)).otherwise(F.lit(0)).cast("int"))
+              .join(classes.select("cls", "ranges"), "cls")
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.floor((F.col("members") - 1) / BLOCK).cast("int")))))
     across = (placed.select("list", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
                             "block", "n", "cls", "label", "ranges")
@@ -492,7 +538,7 @@ def link_classes(docs: DataFrame, sketched: DataFrame, percent: int = PERCENT) -
     rest = stored(across.distinct().join(tested, ["u", "v"], "left_anti"), "shingle-pairs")
     if rest.isEmpty():
         return labels
-    return components(links.union(stored(_verified(docs, rest, percent), "shingle-links")))
+    return components(links.union(stored(_verified(docs, rest, classes, percent), "shingle-links")))
 
 
 def join_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

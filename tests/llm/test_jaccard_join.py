@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import _tables, jaccard_join
 
@@ -140,3 +141,39 @@ def test_large_sets_just_below_the_threshold_are_not_sure():
     spare, sure = jaccard_join._spare(*halves, 75)
     assert spare >= jaccard_join.MARGIN * 175 and not sure
     assert jaccard_join._spare(*[x[:1000] for x in halves], 75)[1]
+
+
+def test_sorting_agrees_with_two_keys():
+    rng = np.random.default_rng(11)
+    for owners, low in ((1, 1 << 63), (7, 4), (300, 1 << 63), (300, 1 << 7)):
+        owner = np.sort(rng.integers(0, owners, 4000))
+        tokens = rng.integers(0, low, 4000, dtype=np.uint64)
+        owner, tokens = np.concatenate([owner, owner[::3]]), np.concatenate([tokens, tokens[::3]])
+        got, want = jaccard_join._sorting(owner, tokens), np.lexsort((tokens, owner))
+        assert (owner[got] == owner[want]).all() and (tokens[got] == tokens[want]).all()
+    assert not len(jaccard_join._sorting(np.zeros(0, np.int64), np.zeros(0, np.uint64)))
+
+
+def test_marks_hold_every_key(spark):
+    keys = np.random.default_rng(12).integers(-(1 << 63), 1 << 63, 3000)
+    keys[:4] = [0, -1, (1 << 63) - 1, -(1 << 63)]
+    marks = jaccard_join._marks(spark.createDataFrame([(int(k),) for k in keys[:1000]], "key long"))
+    found = jaccard_join._marked(marks, keys)
+    assert found[:1000].all() and found[1000:].sum() < 5
+    assert not jaccard_join._marked(jaccard_join._marks(spark.createDataFrame([], "key long")), keys).any()
+
+
+@pytest.mark.parametrize("named", [0, 1 << 18])
+def test_sets_are_built_of_wanted_texts_alone(spark, monkeypatch, named):
+    monkeypatch.setattr(jaccard_join, "NAMED_SETS", named)
+    rng = random.Random(5)
+    rows = [(i, " ".join(prose(rng, 30))) for i in range(40)] + [(40, None), (41, ""), (42, "one two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sketched = jaccard_join.sketches(docs, ["doc_id"])
+    classes = sketched.where("n > 0").select("cls", "n", "ranges", "key")
+    wanted = sketched.where("doc_id IN (3, 7, 42)").select("cls")
+    got = {bytes(r.cls): r.tokens for r in jaccard_join._sets(docs, wanted, classes, np.uint64).collect()}
+    assert {len(t) // 8 for t in got.values()} == {1, 26} and len(got) == 3
+    # A text that has another key is not opened.
+    other = classes.withColumn("key", F.when(F.col("n") == 1, F.col("key")).otherwise(F.lit(1)))
+    assert len(jaccard_join._sets(docs, wanted, other, np.uint64).collect()) == 1
