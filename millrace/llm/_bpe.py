@@ -8,13 +8,10 @@ tokens become those tokens, as in the plain call of the library; no stretch begi
 
 from __future__ import annotations
 
-import ctypes
 import os
-from contextlib import suppress
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
 
 from . import _text as T
 
@@ -174,10 +171,3 @@ def shared(path: str) -> Encoder:
     """The encoder of this worker: the tasks that it runs one after the other load the tokenizer once and share the
     stretches that are known. What it holds is bounded by ``STORE``."""
     return Encoder(path)
-
-
-def release() -> None:
-    """Give memory that a finished task no longer uses back to the system: its worker lives on."""
-    pa.default_memory_pool().release_unused()
-    with suppress(OSError, AttributeError):  # a C library without it
-        ctypes.CDLL("libc.so.6").malloc_trim(0)

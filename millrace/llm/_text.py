@@ -6,7 +6,9 @@ array and none a loop over words.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import suppress
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -137,7 +139,9 @@ def segment_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, lowe
     """64-bit hash of each byte range; equal ranges have equal hashes wherever they are."""
     up, down = powers(len(data) + 1)
     total = np.zeros(len(data) + 1, U64)
-    np.cumsum(byte_values(lower)[data] * up[:len(data)], out=total[1:])
+    np.take(byte_values(lower), data, out=total[1:], mode="clip")
+    total[1:] *= up[:len(data)]
+    np.cumsum(total, out=total)
     sums = total[stops]
     sums -= total[starts]
     sums *= down[starts]
@@ -162,6 +166,13 @@ def window_hashes(values: np.ndarray, width: int, mixed: bool = True) -> np.ndar
     return mix(sums) if mixed else sums
 
 
+def release() -> None:
+    """Give memory that a finished task no longer uses back to the system: its worker lives on."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def owners(ends: np.ndarray) -> np.ndarray:
     """Number of the text of each word (or byte)."""
     return np.repeat(np.arange(len(ends) - 1), np.diff(ends))

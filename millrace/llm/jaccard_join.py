@@ -38,6 +38,8 @@ CELLS = 4 << 20
 # A 32-bit intersection larger than needed by this many, and twice what is expected of sets of that size, is not due to
 # equal halves of different hashes.
 MARGIN = 32
+# Bytes of text whose shingles are made at a time: a task's arrays are some twenty times as large.
+PIECE_BYTES = 1 << 18
 # Shingles counted together, and how many of the most frequent are put last. Both change the work, not the result.
 COUNTED = 1 << 22
 FREQUENT = 1 << 17
@@ -49,6 +51,8 @@ BLOCK = 1024
 NAMED_SETS = 1 << 18
 # Bits of the filter, 2^MARKS of them, that tells texts whose set is not wanted. It changes the work, not the result.
 MARKS = 26
+# What a text with a word holds: any character but white space.
+WORDED = r"[^\x20\x09-\x0D]"
 SKETCH = "n long, grp long, cls binary, ranges binary, prefix array<long>, key long"
 
 
@@ -129,24 +133,31 @@ def frequent_shingles(docs: DataFrame, most: int = FREQUENT) -> np.ndarray:
     """The most frequent shingles, rarest first: from counts over all documents, taken in blocks, without the shingles
     that a block has fewer than three times. The table has a fixed size and only orders the prefixes."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, size = [], 0
+        waiting, size = np.zeros(1 << 16, T.U64), 0
 
-        def counted():
-            values, counts = np.unique(np.concatenate(waiting), return_counts=True)
+        def counted(tokens):
+            # Sorted in place: copies of a block would be most of what a task holds.
+            tokens.sort()
+            starts = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+            counts = np.diff(starts, append=len(tokens))
             often = counts >= 3
-            return pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])],
+            return pa.RecordBatch.from_arrays([pa.array(tokens[starts[often]].view(np.int64)), pa.array(counts[often])],
                                               ["token", "n"])
 
         for batch in batches:
-            for piece in T.pieces(batch.column(0)):
+            for piece in T.pieces(batch.column(0), PIECE_BYTES):
                 tokens = shingles(piece)[1]
-                waiting.append(tokens)
+                if size + len(tokens) > len(waiting):
+                    waiting.resize(max(2 * len(waiting), size + len(tokens)), refcheck=False)
+                waiting[size:size + len(tokens)] = tokens
                 size += len(tokens)
                 if size >= COUNTED:
-                    yield counted()
-                    waiting, size = [], 0
+                    yield counted(waiting[:size])
+                    size = 0
         if size:
-            yield counted()
+            yield counted(waiting[:size])
+        del waiting
+        T.release()
 
     counts = docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     top = counts.where("n >= 16").orderBy(F.desc("n"), "token").limit(most).select("token").toArrow()
@@ -169,7 +180,7 @@ def sketches(docs: DataFrame, keep: list[str], frequent: np.ndarray | None = Non
         seen: set[int] = set()
         for batch in batches:
             out = []
-            for piece in T.pieces(batch.column(batch.num_columns - 1)):
+            for piece in T.pieces(batch.column(batch.num_columns - 1), PIECE_BYTES):
                 owner, tokens = shingles(piece)
                 sizes = np.bincount(owner, minlength=len(piece))
                 ends = np.concatenate([[0], np.cumsum(sizes)])
@@ -205,6 +216,7 @@ def sketches(docs: DataFrame, keep: list[str], frequent: np.ndarray | None = Non
                 found = pa.Table.from_batches(out).combine_chunks().to_batches()[0]
                 yield pa.RecordBatch.from_arrays(batch.columns[:-2] + found.columns + [batch.column(batch.num_columns - 2)],
                                                  names + found.schema.names + ["key"])
+        T.release()
 
     out = inner.mapInArrow(run, schema)
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)],
@@ -343,6 +355,18 @@ def _marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (marks[(at >> T.U64(6)).astype(np.int64)] >> (at & T.U64(63)) & T.U64(1)).astype(bool)
 
 
+def _names(classes: list[bytes]) -> np.ndarray:
+    """Names of sets as an array: a Python set of them would take five times the memory."""
+    return np.frombuffer(b"".join(classes), "S16")
+
+
+def _among(names: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which names are in the sorted ``wanted``."""
+    if not len(wanted):
+        return np.zeros(len(names), bool)
+    return wanted[np.minimum(np.searchsorted(wanted, names), len(wanted) - 1)] == names
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, classes: DataFrame, kind: type) -> DataFrame:
     """(cls, tokens) of the wanted classes, computed anew from one text of each: tokens are the sorted upper bits of the
     hashes that ``kind`` has room for, in bytes. The filter passes over most other texts; what it lets through by chance
@@ -351,7 +375,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, classes: DataFrame, kind: type) ->
     spark = docs.sparkSession
     names = None
     if wanted.count() <= NAMED_SETS:
-        names = spark.sparkContext.broadcast(set(wanted.toArrow().column("cls").to_pylist()))
+        names = spark.sparkContext.broadcast(np.sort(_names(wanted.toArrow().column("cls").to_pylist())))
     marks = spark.sparkContext.broadcast(_marks(classes.select("cls", "key").join(wanted, "cls", "left_semi")))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,12 +384,17 @@ def _sets(docs: DataFrame, wanted: DataFrame, classes: DataFrame, kind: type) ->
             near = _marked(marks.value, batch.column(0).to_numpy())
             if not near.any():
                 continue
-            for piece in T.pieces(batch.column(1).filter(pa.array(near))):
+            for piece in T.pieces(batch.column(1).filter(pa.array(near)), PIECE_BYTES):
                 owner, tokens = shingles(piece)
                 ends = np.searchsorted(owner, np.arange(len(piece) + 1))
                 cls, sets = [], []
-                for i, name in enumerate(_classes(tokens, ends)):
-                    if ends[i] < ends[i + 1] and name not in seen and (names is None or name in names.value):
+                classes_ = _classes(tokens, ends)
+                asked = np.diff(ends) > 0
+                if names is not None:
+                    asked &= _among(_names(classes_), names.value)
+                for i in np.flatnonzero(asked).tolist():
+                    name = classes_[i]
+                    if name not in seen:
                         if len(seen) >= REMEMBERED:
                             seen.clear()
                         seen.add(name)
@@ -374,6 +403,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, classes: DataFrame, kind: type) ->
                 if cls:
                     yield pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), pa.array(sets, pa.binary())],
                                                      ["cls", "tokens"])
+        T.release()
 
     found = docs.select(F.xxhash64("text").alias("key"), "text").mapInArrow(run, "cls binary, tokens binary")
     if names is None:
@@ -402,6 +432,7 @@ def _overlaps(docs: DataFrame, pairs: DataFrame, classes: DataFrame, kind: type,
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([x for x, _ in found], pa.int64()),
                  pa.array([x for _, x in found], pa.bool_())], ["u", "v", "spare", "sure"])
+        T.release()
 
     wanted = pairs.select(F.col("u").alias("cls")).union(pairs.select("v")).distinct()
     sets = stored(_sets(docs, wanted, classes, kind), "shingle-sets")
@@ -541,6 +572,19 @@ def link_classes(docs: DataFrame, sketched: DataFrame, percent: int = PERCENT) -
     return components(links.union(stored(_verified(docs, rest, classes, percent), "shingle-links")))
 
 
+def _joined(docs: DataFrame, percent: int) -> DataFrame:
+    """The columns of ``join_documents`` and the hash of the text, as ``key``."""
+    texts = docs.select("doc_id", "text")
+    frequent = frequent_shingles(texts)
+    sketched = stored(sketches(texts, ["doc_id"], frequent, percent), "shingle-sketches")
+    labels = stored(link_classes(texts, sketched, percent), "shingle-labels")
+    rows = _labelled(sketched.select("doc_id", "n", "cls", "key"), labels)
+    least = rows.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
+    return (rows.join(least, "label", "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), "cls",
+                    F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "key"))
+
+
 def join_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, cls, component_id) of every row of ``docs`` (doc_id, text).
 
@@ -549,28 +593,24 @@ def join_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     link with nothing. Repeated rows link like any others. A row whose doc_id is null links as well, and has no id to
     give: its component has the least doc_id that is not null, or null.
     """
-    texts = docs.select("doc_id", "text")
-    frequent = frequent_shingles(texts)
-    sketched = stored(sketches(texts, ["doc_id"], frequent, percent), "shingle-sketches")
-    labels = stored(link_classes(texts, sketched, percent), "shingle-labels")
-    rows = _labelled(sketched.select("doc_id", "n", "cls"), labels)
-    least = rows.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
-    return (rows.join(least, "label", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), "cls",
-                    F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id")))
+    return _joined(docs, percent).drop("key")
 
 
 def drop_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each component: the one that gives it its id. Documents with the empty set all stay."""
-    joined = stored(join_documents(docs, percent), "shingle-components")
-    kept = joined.where("n_shingles > 0 AND doc_id <=> component_id").select("doc_id", "cls").distinct().toDF("d", "c")
-    # Whole rows travel as one column, so that no name of theirs meets one of the sketch.
-    packed = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    named = sketches(packed, ["doc_id", "row"])
-    first = F.row_number().over(W.Window.partitionBy("doc_id", "cls").orderBy("n"))
-    chosen = (named.where("n > 0").withColumn("copy", first).where("copy = 1")
-              .join(kept, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("cls") == F.col("c")), "left_semi"))
-    return chosen.select("row.*").union(named.where("n = 0").select("row.*"))
+    # A struct is equal to another one of the same null.
+    kept = stored(_joined(docs, percent).where("n_shingles > 0 AND doc_id <=> component_id")
+                  .groupBy(F.struct("doc_id").alias("id"), "cls").agg(F.min("key").alias("key"))
+                  .select("id", "key"), "shingle-components")
+    # Whole rows travel as one column, so that no name of theirs meets one of the join. They pass no Python worker: the
+    # hash of its text tells which row of an id is kept.
+    packed = docs.select(F.struct("doc_id").alias("id"), F.xxhash64("text").alias("key"),
+                         F.coalesce(F.col("text").rlike(WORDED), F.lit(False)).alias("worded"),
+                         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    first = F.row_number().over(W.Window.partitionBy("id", "key").orderBy("key"))
+    chosen = (packed.where("worded").join(kept, ["id", "key"], "left_semi")
+              .withColumn("copy", first).where("copy = 1"))
+    return chosen.select("row.*").union(packed.where("NOT worded").select("row.*"))
 
 
 @query(sql=r"""

@@ -180,7 +180,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
                     writer.add(names[rows], nulls[rows], sizes + 1, full)
                 batch = next(batches, None)
             n_docs, n_tokens = writer.close()
-        _bpe.release()
+        T.release()
         yield pa.RecordBatch.from_arrays(
             [pa.array([part], pa.int32()), pa.array([path]), pa.array([n_docs]), pa.array([n_tokens])],
             ["part", "file", "n_docs", "n_tokens"])

@@ -40,6 +40,16 @@ def sizes(shuffle_bytes: int | None = None, scan_bytes: int | None = None) -> di
     return out
 
 
+# Bytes of an Arrow batch: every task and its Python worker hold a few batches outside the JVM's heap. Spark's own bound
+# is 64 MB and 10,000 rows.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
+    """From now on the session's tasks and Python workers exchange batches of about ``batch_bytes``, at least a row."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
+
+
 def get_session(app: str = "millrace", master: str | None = None, conf: dict[str, str] | None = None,
                 shuffle_bytes: int | None = None, scan_bytes: int | None = None) -> SparkSession:
     """Build (or fetch) a session with the settings every job here expects.

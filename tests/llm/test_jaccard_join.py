@@ -1,10 +1,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import _tables, jaccard_join
+from millrace.llm import _text as T
 
 from .helpers import DOCUMENTS, SPACE, documents, lower, prose, same, unique
 
@@ -91,6 +93,46 @@ def test_one_document_of_each_component_stays(spark):
     assert len(nonempty) + len(empty) == kept.count()
 
 
+def test_kept_rows_pass_no_python_worker(spark):
+    docs = spark.createDataFrame(documents(), DOCUMENTS)
+    kept = jaccard_join.drop_near_copies(docs)
+    assert "MapInArrow" not in kept._jdf.queryExecution().toString()
+
+
+def test_kept_rows_of_repeated_and_missing_ids(spark):
+    rng = random.Random(11)
+    a, b, c, d = (" ".join(prose(rng, 30)) for _ in range(4))
+    rows = [(7, a, "x"), (7, a, "y"), (7, a.replace("o", "O").replace("n", "N"), "x"), (7, b, "x"), (8, a, "x"), (3, b + " more", "x"),
+            (None, c, "x"), (None, c, "x"), (None, d, "x"), (9, d, "x"),
+            (7, None, "x"), (7, " \t", "x"), (7, " \t", "x"), (None, "", "x"), (8, "\u00a0", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string")
+    kept = jaccard_join.drop_near_copies(docs)
+    assert kept.schema == docs.schema
+    got = sorted(((r[0], lower(r[1] or "")) for r in kept.collect()), key=str)
+    assert got == sorted([(7, lower(a)), (3, lower(b + " more")), (None, c), (9, d), (7, ""), (7, " \t"), (7, " \t"),
+                          (None, ""), (8, "\u00a0")], key=str)
+
+
+def test_names_are_found_among_the_wanted():
+    rng = np.random.default_rng(4)
+    names = [rng.bytes(14) + end for end in (b"\0\0", b"\0a", b"a\0", b"aa") for _ in range(50)] + [bytes(16)]
+    wanted = np.sort(jaccard_join._names(names[::3]))
+    found = jaccard_join._among(jaccard_join._names(names), wanted)
+    assert found.tolist() == [n in set(names[::3]) for n in names]
+    assert not jaccard_join._among(jaccard_join._names(names), jaccard_join._names([])).any()
+
+
+def test_frequent_shingles_are_counted_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "COUNTED", 200)
+    monkeypatch.setattr(jaccard_join, "PIECE_BYTES", 2000)
+    rng = random.Random(6)
+    often, more = " ".join(prose(rng, 5)), " ".join(prose(rng, 5))
+    texts = [often] * 40 + [more] * 60 + [" ".join(prose(rng, 20)) for _ in range(30)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    want = [jaccard_join.shingles(next(T.pieces(pa.array([t]))))[1][0] for t in (often, more)]
+    assert jaccard_join.frequent_shingles(docs).tolist() == want
+
+
 def test_bound_never_rules_out_a_link():
     rng = np.random.default_rng(2)
     for n in (20, 900, 1100, 5000):

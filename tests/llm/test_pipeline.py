@@ -1,8 +1,11 @@
+import contextlib
 import math
 
+import pyarrow as pa
+
 import corpus_pipeline
 from millrace.llm import quality
-from millrace.session import stored
+from millrace.session import BATCH_BYTES, stored
 
 from .helpers import SPACE
 from .test_decontamination import plain as plain_hits
@@ -50,6 +53,24 @@ def test_stages_agree_with_plain_versions(spark):
     assert got == [r[:4] for r in plain_tokens(rows(mixed))]
 
 
+def test_stages_bound_the_batches_of_workers(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.createDataFrame([(i, "x" * 100_000, "a", "b", 1) for i in range(100)],
+                                 "doc_id long, text string, source string, lang string, n_chars long").coalesce(1)
+
+    def largest(batches):
+        yield pa.RecordBatch.from_pydict({"n": [max(b.nbytes for b in batches)]})
+
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(name)
+            with contextlib.suppress(Exception):
+                stage(spark, docs, "/nowhere")
+            assert docs.mapInArrow(largest, "n long").first().n < BATCH_BYTES + (1 << 20)
+    finally:
+        spark.conf.unset(name)
+
+
 def test_names_and_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "n-gram Jaccard join", "benchmark decontamination", "mixing sources to target weights",
