@@ -76,6 +76,107 @@ def test_many_stretches_are_one_call_of_the_library():
             assert 0 < len(calls) <= -(-2002 // _bpe.JOINED)
 
 
+class Recording:
+    """The library, with the texts that it was given."""
+
+    def __init__(self, real):
+        self.real, self.texts = real, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts.extend(texts)
+        return self.real.encode_batch_fast(texts, **options)
+
+
+def recorded(store=_bpe.STORE):
+    enc = _bpe.Encoder(_bpe.default_path(), store=store)
+    enc.tokenizer = Recording(enc.tokenizer)
+    return enc
+
+
+def encoded(enc, texts):
+    got = []
+    for piece in _text.pieces(pa.array(texts)):
+        ids, sizes = enc.encode(piece)
+        got += [i.tolist() for i in np.split(ids, np.cumsum(sizes)[:-1])]
+    want = [e.ids for e in encoder().tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert got == want
+
+
+def test_stretches_stand_side_by_side_where_one_begins_anyway():
+    enc = recorded()
+    encoded(enc, [" ".join(f"word{i}" for i in range(600)) + ".", "日", "日本"])
+    # Before the two texts that begin with neither space nor line feed.
+    assert sum(t.count("<|endoftext|>") for t in enc.tokenizer.texts) == 2
+
+
+def test_stretches_met_again_outlive_a_full_store():
+    enc = recorded(store=500)
+    common = " ".join(f"common{i}" for i in range(100))
+    encoded(enc, [common])
+    for i in range(10):
+        encoded(enc, [common + " " + " ".join(f"rare{i}x{j}" for j in range(150))])
+        assert enc.known.count <= 500
+    assert sum(t.count("common7 ") for t in enc.tokenizer.texts) == 1
+
+
+def test_a_full_store_of_common_stretches_starts_anew():
+    enc = recorded(store=500)
+    for i in range(6):
+        for _ in range(2):
+            encoded(enc, [" ".join(f"w{i}x{j}" for j in range(200))])
+            assert enc.known.count <= 500
+    long = ["".join(chr(0x4E00 + (i * 37 + j * 101) % 20000) for j in range(300)) for i in range(40)]
+    for text in long:  # few stretches, many ids
+        encoded(enc, [text])
+        assert enc.known.n_ids <= _bpe.STORE_IDS * 500 + 1000
+
+
+STRETCHES = st.lists(st.text(st.sampled_from("aZé's \n\t\r.,!1…日😀\u3000\u0085\x1c<|>"), min_size=1, max_size=6)
+                     | st.sampled_from([" and", " the", "\n", " ", ".", ",", "'ll", "<|endo", "ftext|>", "  x"]),
+                     min_size=1, max_size=40)
+
+
+@settings(max_examples=200, deadline=None)
+@given(STRETCHES)
+def test_stretches_in_one_call_have_the_ids_of_each_alone(texts):
+    enc = encoder()
+    whole = []
+    for data in (t.encode() for t in texts):
+        at = _bpe.cuts(np.frombuffer(data, np.uint8), np.array([0, len(data)])).tolist()
+        whole += [data[a:b] for a, b in zip(at, at[1:] + [len(data)])]
+    want = [e.ids for e in enc.tokenizer.encode_batch([t.decode() for t in whole], add_special_tokens=False)]
+    ids, sizes = enc._library(whole)
+    assert [i.tolist() for i in np.split(ids, np.cumsum(sizes)[:-1])] == want
+
+
+def test_ids_that_do_not_stand_for_their_bytes_are_asked_for_alone():
+    enc = recorded()
+    enc.lengths = enc.lengths + 1
+    encoded(enc, ["some words, and others", "a\nb"])
+    assert " words" in enc.tokenizer.texts
+
+
+def test_runs_are_found_under_keys_that_meet():
+    store, rng = _bpe.Store(4), np.random.default_rng(1)
+    keys = np.unique(rng.integers(1, 1 << 40, 300, dtype=np.uint64) << np.uint64(8))  # many share their first place
+    runs = {}
+    for part in np.array_split(rng.permutation(keys), 7):
+        sizes = rng.integers(0, 5, len(part))
+        ids = rng.integers(0, 1 << 32, sizes.sum(), dtype=np.uint32)
+        assert not store.find(part)[1].any()
+        store.add(part, sizes, ids)
+        runs |= {k: i.tolist() for k, i in zip(part.tolist(), np.split(ids, np.cumsum(sizes)[:-1]))}
+    asked = rng.choice(keys, 1000)
+    at, known = store.find(asked)
+    ids, sizes = store.runs(at)
+    assert known.all() and store.count == len(keys)
+    assert [i.tolist() for i in np.split(ids, np.cumsum(sizes)[:-1])] == [runs[k] for k in asked.tolist()]
+    store.again[at] = True
+    kept = store.met_again(1000, 10_000)
+    assert kept.find(asked)[1].all() and kept.count == len(np.unique(asked)) and not kept.again.any()
+    assert store.met_again(len(np.unique(asked)) - 1, 10_000).count == 0
+
+
 def test_a_separator_overlaps_no_added_token():
     assert _bpe.separator([b"<|x|>", b"<s>"]) == b"<|x|>"
     assert _bpe.separator([b"a<|", b"<|x|>"]) is None
